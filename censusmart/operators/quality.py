@@ -204,3 +204,27 @@ def reconcile(staged: DataFrame, fact: DataFrame, keys: Mapping[str, str]) -> Da
         *[F.sum(F.when(F.col("check_name") == c, F.col("row_count"))).alias(c)
           for c in ("fact_total", "staged_total", "unresolved")]
     )
+
+
+class Suite:
+    """Checks of one mart, collected check by check and run as one plan."""
+
+    def __init__(self, mart: str):
+        self.mart = mart
+        self.counts: list[DataFrame] = []
+        self.rules: dict[str, Rule] = {}
+
+    def scan(self, df: DataFrame, checks: Mapping[str, tuple[Column, Rule]]) -> Suite:
+        """Row-level checks of one frame; they share a single pass over it."""
+        self.counts.append(tally(df, {name: test for name, (test, _) in checks.items()}))
+        self.rules.update({name: rule for name, (_, rule) in checks.items()})
+        return self
+
+    def add(self, name: str, rule: Rule, count, *args) -> Suite:
+        """A check by one of the counting functions: ``add(name, rule, orphans, fact, column, dim)``."""
+        self.counts.append(count(name, *args))
+        self.rules[name] = rule
+        return self
+
+    def run(self, as_of: date, run_id: Column | None = None) -> DataFrame:
+        return run_checks(self.mart, self.counts, self.rules, as_of, run_id)
