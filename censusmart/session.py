@@ -12,7 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even when a later aggregation then needs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

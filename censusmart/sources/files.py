@@ -79,3 +79,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             for f in schema.fields
         ]
     )
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of the given schema, known to the optimizer as such."""
+    nothing = spark.range(1).filter(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusmart.operators.upsert import absent, upsert
-from censusmart.sources.files import conform
+from censusmart.sources.files import conform, empty
 from censusmart.sources.schemas import schema
 
 BATCH = "__batch"
@@ -61,7 +61,7 @@ class Warehouse:
         """The table, or an empty frame with its declared schema before the first load."""
         declared = schema(table.removesuffix(BATCH))
         if not self.exists(table):
-            return self.spark.createDataFrame([], declared)
+            return empty(self.spark, declared)
         return self.spark.read.schema(declared).parquet(self.path(table)).select(declared.names)
 
     def __getitem__(self, table: str) -> DataFrame:
