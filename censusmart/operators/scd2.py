@@ -69,14 +69,11 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, spec: Versioned, as_of: date)
         "_changed", has_old & has_new & (old_hash != F.col("_hash"))
     )
 
-    kept = F.col("old")
-    expired = F.col("old").withField("expiration_date", F.lit(as_of - timedelta(days=1)))
-    expired = expired.withField(spec.current_col, F.lit(False))
-    inserted = _inserted(dim, staged, spec, as_of)
-    versions = (
-        F.when(~has_old, F.array(inserted))
-        .when(F.col("_changed"), F.array(expired, inserted))
-        .otherwise(F.array(kept))
+    changed, old = F.col("_changed"), F.col("old")
+    ends = F.when(changed, F.lit(as_of - timedelta(days=1))).otherwise(F.col("old.expiration_date"))
+    known = old.withField("expiration_date", ends).withField(spec.current_col, ~changed)
+    versions = F.array_compact(
+        F.array(F.when(has_old, known), F.when(~has_old | changed, _inserted(dim, staged, spec, as_of)))
     )
     merged = both.select(F.explode(versions).alias("v")).select("v.*")
     return dim.filter(~F.coalesce(current, F.lit(False))).unionByName(merged)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the time zone; the rest are Spark's own answers to size and skew.
 SETTINGS = {
@@ -34,3 +36,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; a local session without
+    that setting gets a folder of its own. The rows survive the loss of executors.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="censusmart-")
+        context.setCheckpointDir(shared)
+    return df.checkpoint()

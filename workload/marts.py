@@ -14,6 +14,7 @@ from censusmart.operators import quality
 from censusmart.plans import (
     enrolment, indicators, infrastructure, lookups, schools, staff, subjects, teachers, transfers,
 )
+from censusmart.session import cut_lineage
 from censusmart.sources.files import empty
 from censusmart.sources.schemas import schema
 from workload.definitions import DISABILITY_FLAGS, LEARNER_HASHED, SCHOOL_HASHED, STAFF_HASHED, TEACHER_HASHED
@@ -188,15 +189,19 @@ def schools_by_district_and_sex(t):
 
 
 @query("""WITH s AS (SELECT * FROM {stg_schools_raw} WHERE emis_number IS NULL OR emis_number IN (SELECT emis_number FROM {stg_schools_raw} GROUP BY 1 HAVING count(*) = 1)),
-p AS (SELECT s.*, op.name AS status FROM s LEFT JOIN {src_setting_operational_statuses} op ON op.id = s.operational_status_id WHERE EXISTS (
-  SELECT 1 FROM {dw_admin_units_dim} a WHERE a.current_status AND a.source_id IN (s.parish_id, s.sub_county_id, s.county_id, s.district_id, s.admin_unit_id)))
-SELECT substr(status, 1, 20) AS operational_status, count(*) AS school_count FROM p GROUP BY 1""")
+p AS (SELECT s.id, substr(op.name, 1, 20) AS status FROM s LEFT JOIN {src_setting_operational_statuses} op ON op.id = s.operational_status_id WHERE EXISTS (
+  SELECT 1 FROM {dw_admin_units_dim} a WHERE a.current_status AND a.source_id IN (s.parish_id, s.sub_county_id, s.county_id, s.district_id, s.admin_unit_id))),
+live AS (SELECT id, status FROM p UNION ALL SELECT source_id, operational_status FROM {dw_schools_dim} v WHERE is_current AND source_id NOT IN (SELECT id FROM p))
+SELECT status AS operational_status, count(*) AS school_count FROM live GROUP BY 1""")
 def schools_status_end_to_end(t):
-    """Raw schools → flat → first versions → snapshot → report, in one plan."""
+    """Raw schools → flat → versions → snapshot → report; the merged dimension is written in between.
+
+    Every staged school differs from its version in the old dimension (the names and units do), so
+    the day's current rows are the staged ones plus the schools that staging no longer holds.
+    """
     world = type(t)(t.spark, t.sf_dir, **{k: v for k, v in t.items()})
     world["stg.schools_flat"] = schools.flatten_schools(world, TODAY)
-    world["dw.schools_dim"] = empty(t.spark, schema("dw.schools_dim"))
-    world["dw.schools_dim"] = schools.merge_schools(world, TODAY)
+    world["dw.schools_dim"] = cut_lineage(schools.merge_schools(world, TODAY))
     world["dw.school_fact"] = schools.school_snapshot(world, TODAY)
     return schools.by_operational_status(world, TODAY)
 
