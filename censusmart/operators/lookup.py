@@ -8,6 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Three terms a year for as many years as the calendar could hold, and more.
+MAX_PERIODS = 10_000
+
 
 def lookup(
     df: DataFrame,
@@ -64,12 +67,15 @@ def expand_periods(
     """Every person row once per period row.
 
     The general periods (a handful per academic year) travel as one array inside the plan and are
-    exploded in place: no cross join and no shuffle of the people. School-specific periods, if
-    ``period_school`` names their school column, join on the school.
+    exploded in place: no cross join and no shuffle of the people. Their number is checked.
+    School-specific periods, if ``period_school`` names their school column, join on the school.
     """
     fields = [c for c in periods.columns if c != period_school]
     general = periods if period_school is None else periods.filter(F.col(period_school).isNull())
-    as_array = general.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("p")).scalar()
+    listed = F.sort_array(F.collect_list(F.struct(*fields)))
+    too_many = F.raise_error(F.lit(f"more than {MAX_PERIODS} general periods; reduce them to one per term"))
+    bounded = F.when(F.count(F.lit(1)) <= MAX_PERIODS, listed).otherwise(too_many)
+    as_array = general.agg(bounded.alias("p")).scalar()
     everywhere = people.withColumn("_p", F.explode(as_array)).select("*", "_p.*").drop("_p")
     if period_school is None:
         return everywhere

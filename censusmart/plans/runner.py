@@ -27,16 +27,19 @@ from censusmart.sources.warehouse import Warehouse
 log = logging.getLogger(__name__)
 YEAR = "academic_year"
 
+# Columns that hold the time of writing.
+STAMPS = ("load_time", "location_time", "date_computed", "date_loaded")
+
 
 class Workspace(dict):
     """Source tables by name, everything else from the warehouse as last written."""
 
     def __init__(self, sources: Tables, warehouse: Warehouse):
-        super().__init__(sources)
-        self.warehouse = warehouse
+        super().__init__()
+        self.sources, self.warehouse = sources, warehouse
 
     def __missing__(self, name: str) -> DataFrame:
-        return self.warehouse.read(name)
+        return self.sources[name] if name.startswith("src.") else self.warehouse.read(name)
 
 
 @dataclass(frozen=True)
@@ -80,6 +83,9 @@ def _map(t: Tables) -> DataFrame:
 # indicators that divide by it.
 MARTS: dict[str, list[Step]] = {
     "schools": [
+        Step("stg.schools_raw", _plain(schools.extract_schools)),
+        Step("stg.school_location_details_raw", _plain(schools.extract_locations)),
+        Step("stg.admin_units_raw", _plain(schools.extract_admin_units)),
         _dimension("dw.admin_units_dim", schools.merge_admin_units, "current_status"),
         Step("stg.schools_flat", schools.flatten_schools),
         _dimension("dw.schools_dim", schools.merge_schools),
@@ -172,10 +178,12 @@ def _write(space: Workspace, step: Step, as_of: date, rerun: bool) -> DataFrame:
     if step.versioned and not rerun:
         require_later(store.read(step.table), as_of, step.versioned)
     df = step.build(space, as_of)
+    stamps = [c for c in STAMPS if c in schema(step.table).names and c not in df.columns]
+    df = df.withColumns({c: F.current_timestamp() for c in stamps})
     if step.write == "absent":
         return store.load_absent(step.table, df, step.keys, [step.partition] if step.partition else [])
     if step.write == "upsert":
-        return store.load_upsert(step.table, df, step.keys, step.updates, step.partition)
+        return store.load_upsert(step.table, df, step.keys, [*step.updates, *stamps], step.partition)
     written = store.refresh(step.table, df)
     if step.versioned:
         require_unique(written, ["id"], step.table)

@@ -15,6 +15,8 @@ from censusmart.operators.keys import unique_or_null
 from censusmart.operators.lookup import decode_ids, first_available, lookup
 from censusmart.operators.scd2 import Versioned, scd2_merge
 from censusmart.plans.common import Tables
+from censusmart.sources.files import conform
+from censusmart.sources.schemas import schema
 
 # The tables that tell day and boarding admission, in the order they are consulted.
 SCHOOL_KINDS = ("pre_primary_schools", "primary_schools", "secondary_schools", "international_schools")
@@ -66,6 +68,27 @@ LOCATIONS = Versioned(
 )
 
 
+def _extract(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns of a source table; empty text is NULL, as in a CSV transfer."""
+    rows = conform(df, schema(table))
+    texts = [f.name for f in rows.schema.fields if f.dataType.typeName() == "string"]
+    return rows.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts})
+
+
+def extract_schools(t: Tables) -> DataFrame:
+    return _extract(t["src.schools"], "stg.schools_raw")
+
+
+def extract_locations(t: Tables) -> DataFrame:
+    return _extract(t["src.school_location_details"], "stg.school_location_details_raw")
+
+
+def extract_admin_units(t: Tables) -> DataFrame:
+    """The unit list as delivered; unit types are trimmed and written in title case."""
+    rows = _extract(t["src.admin_units"], "stg.admin_units_raw")
+    return rows.withColumn("admin_unit_type", F.initcap(F.trim("admin_unit_type")))
+
+
 def admissions(t: Tables, kinds: tuple[str, ...], prefix: str) -> DataFrame:
     """Per school, the first known day and boarding flag over the kind tables, in their order.
 

@@ -16,11 +16,22 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+PARTITIONS_PER_CORE = 8
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session.
+
+    On a cluster, shuffles start with several partitions per core: AQE merges small partitions but
+    never splits an evenly large one, so the default of 200 would be far too few for big inputs.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        stated = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(stated, PARTITIONS_PER_CORE * context.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 

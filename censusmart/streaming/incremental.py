@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from censusmart.operators.upsert import upsert
-
 
 def last_success(watermarks: DataFrame, source: str) -> Column:
     """The source's watermark as a scalar subquery; NULL when it never ran."""
@@ -27,8 +25,6 @@ def advance(watermarks: DataFrame, source: str, reached: DataFrame, ts_col: str,
     fresh = reached.agg(F.max(ts_col).cast("timestamp").alias("last_success_ts")).filter(
         "last_success_ts is not null"
     ).select(F.lit(source).alias("source_name"), "last_success_ts", F.lit(run_id).alias("last_run_id"))
-    moved = upsert(watermarks, fresh, ["source_name"], ["last_success_ts", "last_run_id"])
-    held = watermarks.select("source_name", F.col("last_success_ts").alias("_was"))
-    return moved.join(held, "source_name", "left").withColumn(
-        "last_success_ts", F.greatest("last_success_ts", "_was")
-    ).drop("_was")
+    both = watermarks.select(fresh.columns).unionByName(fresh)
+    newest = F.max(F.struct("last_success_ts", "last_run_id"))
+    return both.groupBy("source_name").agg(newest.alias("n")).select("source_name", "n.*")
