@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,22 +102,23 @@ def latest_before(
     No event meets its key's whole history. Both sides are laid on one time axis that is cut into
     slices; a running maximum works inside one (key, slice) partition, and what came before a
     slice is carried in from a small table of per-slice maxima. A hot key is therefore spread
-    over its slices instead of sitting in one task.
+    over its slices instead of sitting in one task; events without key or time skip the windows.
     """
     def slice_of(t: Column) -> Column:
         return F.floor(F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")) / slice_days)
 
-    past = history.select(*keys, F.col(history_time).alias("_t")).filter(F.col("_t").isNotNull())
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, "_t"]])
+    past = history.select(*keys, F.col(history_time).alias("_t")).filter(complete)
     past = past.withColumn("_slice", slice_of(F.col("_t")))
     rows = events.withColumn("_row", F.struct(*events.columns)).select(
         *keys, F.col(event_time).alias("_t"), "_row"
     )
-    rows = rows.withColumn("_slice", slice_of(F.col("_t")))
+    nothing = F.lit(None).cast(past.schema["_t"].dataType)
+    unmatched = rows.filter(~complete).select("_row.*", nothing.alias(as_name))
+    rows = rows.filter(complete).withColumn("_slice", slice_of(F.col("_t")))
 
     # An event sorts before history of the same instant, so it sees strictly earlier times only.
-    axis = rows.withColumn("_seen", F.lit(None).cast(past.schema["_t"].dataType)).withColumn(
-        "_is_history", F.lit(0)
-    ).unionByName(
+    axis = rows.withColumn("_seen", nothing).withColumn("_is_history", F.lit(0)).unionByName(
         past.distinct().withColumn("_seen", F.col("_t")).withColumn("_is_history", F.lit(1)),
         allowMissingColumns=True,
     )
@@ -136,4 +138,5 @@ def latest_before(
     )
     carried = slices.select(*keys, "_slice", F.max("_slice_max").over(before).alias("_carried"))
     found = local.join(carried, [*keys, "_slice"], "left")
-    return found.select("_row.*", F.coalesce("_seen", "_carried").alias(as_name))
+    matched = found.select("_row.*", F.coalesce("_seen", "_carried").alias(as_name))
+    return matched.unionByName(unmatched)
