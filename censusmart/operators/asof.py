@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,32 +94,25 @@ def version_or_earliest(
 
 def latest_before(
     events: DataFrame, history: DataFrame, keys: Sequence[str], event_time: str,
-    history_time: str, as_name: str, slice_days: int = 366,
+    history_time: str, as_name: str, slice_days: int = 31,
 ) -> DataFrame:
     """Each event with the latest history time of its key strictly before its own time.
 
-    No event meets its key's whole history. Both sides are laid on one time axis that is cut into
-    slices; a running maximum works inside one (key, slice) partition, and what came before a
-    slice is carried in from a small table of per-slice maxima. A hot key is therefore spread
-    over its slices instead of sitting in one task; events without key or time skip the windows.
+    No event meets its key's whole history. The different event times and history times of a key
+    are laid on one time axis that is cut into slices; a running maximum works inside one
+    (key, slice) partition, and what came before a slice is carried in from a small table of
+    per-slice maxima. The answers, one per key and time, then join the events. However hot a key
+    is, its windows hold different points in time only, spread over its slices.
     """
-    def slice_of(t: Column) -> Column:
-        return F.floor(F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")) / slice_days)
-
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, "_t"]])
-    past = history.select(*keys, F.col(history_time).alias("_t")).filter(complete)
-    past = past.withColumn("_slice", slice_of(F.col("_t")))
-    rows = events.withColumn("_row", F.struct(*events.columns)).select(
-        *keys, F.col(event_time).alias("_t"), "_row"
-    )
-    nothing = F.lit(None).cast(past.schema["_t"].dataType)
-    unmatched = rows.filter(~complete).select("_row.*", nothing.alias(as_name))
-    rows = rows.filter(complete).withColumn("_slice", slice_of(F.col("_t")))
-
-    # An event sorts before history of the same instant, so it sees strictly earlier times only.
-    axis = rows.withColumn("_seen", nothing).withColumn("_is_history", F.lit(0)).unionByName(
-        past.distinct().withColumn("_seen", F.col("_t")).withColumn("_is_history", F.lit(1)),
-        allowMissingColumns=True,
+    def points(df: DataFrame, time: str) -> DataFrame:
+        at = df.select(*keys, F.col(time).alias("_t")).dropna().distinct()
+        days = F.datediff(F.col("_t").cast("date"), F.lit("1970-01-01").cast("date"))
+        return at.withColumn("_slice", F.floor(days / slice_days))
+
+    asked, past = points(events, event_time), points(history, history_time)
+    # An asked time sorts before an equal history time, so it sees strictly earlier times only.
+    axis = past.withColumns({"_seen": F.col("_t"), "_is_history": F.lit(1)}).unionByName(
+        asked.withColumns({"_seen": F.lit(None).cast(past.schema["_t"].dataType), "_is_history": F.lit(0)})
     )
     inside = (
         Window.partitionBy(*keys, "_slice").orderBy("_t", "_is_history")
@@ -128,15 +120,13 @@ def latest_before(
     )
     local = axis.withColumn("_seen", F.max("_seen").over(inside)).filter("_is_history = 0")
 
-    # Carry: for every slice that holds events, the newest history of the slices before it.
-    slices = past.groupBy(*keys, "_slice").agg(F.max("_t").alias("_slice_max")).unionByName(
-        rows.select(*keys, "_slice").distinct(), allowMissingColumns=True
-    ).groupBy(*keys, "_slice").agg(F.max("_slice_max").alias("_slice_max"))
-    before = (
-        Window.partitionBy(*keys).orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # Carry: for every slice on the axis, the newest history of the slices before it.
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = axis.groupBy(*keys, "_slice").agg(F.max("_seen").alias("_newest"))
+    carried = slices.select(*keys, "_slice", F.max("_newest").over(before).alias("_carried"))
+
+    answers = local.join(carried, [*keys, "_slice"], "left").select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], "_t", F.coalesce("_seen", "_carried").alias(as_name)
     )
-    carried = slices.select(*keys, "_slice", F.max("_slice_max").over(before).alias("_carried"))
-    found = local.join(carried, [*keys, "_slice"], "left")
-    matched = found.select("_row.*", F.coalesce("_seen", "_carried").alias(as_name))
-    return matched.unionByName(unmatched)
+    on = [F.col(k) == F.col(f"_k_{k}") for k in keys] + [F.col(event_time) == F.col("_t")]
+    return events.join(answers, on, "left").drop("_t", *[f"_k_{k}" for k in keys])

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from censusmart.functions.changes import (
-    FIRST_LOAD, as_text, change_hash, change_reason, changed_fields, differs,
-)
+from censusmart.functions.changes import FIRST_LOAD, change_hash, change_reason, changed_fields, differs
 from censusmart.operators.keys import surrogate_key
 
 FOREVER = date(9999, 12, 31)
@@ -37,7 +35,6 @@ class Versioned:
     first_fields: str = FIRST_LOAD
     named: Sequence[str] | None = None
     compat: str | None = None
-    key_types: Mapping[str, str] = field(default_factory=dict)
 
     def hash_of(self, prefix: str) -> Column:
         return change_hash([F.col(prefix + c) for c in self.tracked], list(self.tracked.values()))
@@ -89,7 +86,7 @@ def _inserted(dim: DataFrame, staged: DataFrame, spec: Versioned, as_of: date) -
         "expiration_date": F.lit(FOREVER),
         spec.current_col: F.lit(True),
         "change_hash": F.col("_hash"),
-        "id": F.xxhash64(*[F.col(f"new.{k}") for k in spec.keys], F.lit(as_of)),
+        "id": surrogate_key(*[F.col(f"new.{k}") for k in spec.keys], F.lit(as_of)),
     }
     if spec.describe:
         rules = [
@@ -150,9 +147,3 @@ def history_of(dim: DataFrame, key: str, value: object) -> DataFrame:
 def versions_changing(dim: DataFrame, field_name: str) -> DataFrame:
     """Versions that list ``field_name`` among their changed fields."""
     return dim.filter(F.col("changed_fields").contains(field_name))
-
-
-__all__ = [
-    "FOREVER", "Versioned", "as_text", "history_of", "merge_counts", "require_later", "scd2_merge",
-    "surrogate_key", "version_counts", "version_gaps", "versions_changing",
-]

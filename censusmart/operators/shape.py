@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from censusmart.functions.labels import matches_any
-from censusmart.functions.numbers import is_true, ratio
+from censusmart.functions.numbers import ratio
 
 
 def pivot_max(
@@ -49,10 +49,18 @@ def with_totals(
     df: DataFrame, keys: Sequence[str], measures: Sequence[str], over: str, label: str = "TOTAL",
     members: Column | None = None,
 ) -> DataFrame:
-    """Detail rows plus one ``label`` row per key that sums the ``members`` of column ``over``."""
-    part = df if members is None else df.filter(members)
-    total = part.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]).withColumn(over, F.lit(label))
-    return df.unionByName(total.select(*[c if c in total.columns else F.lit(None).alias(c) for c in df.columns]))
+    """Detail rows plus one ``label`` row per key that sums the ``members`` of column ``over``.
+
+    ``df`` holds one row per key and ``over``. Every member row is sent out twice, under its own
+    value and under the label, and one aggregation sums both: the input, often a large aggregate
+    itself, is computed once, where a union of detail and total would compute it twice.
+    """
+    own = F.col(over)
+    both = F.array(own, F.lit(label))
+    if members is not None:
+        both = F.when(members, both).otherwise(F.array(own))
+    sent = df.select(*keys, *measures, F.explode(both).alias(over))
+    return sent.groupBy(*keys, over).agg(*[F.sum(m).alias(m) for m in measures]).select(df.columns)
 
 
 def parity(
@@ -61,28 +69,23 @@ def parity(
 ) -> DataFrame:
     """Fill ``{output: measure}`` on the ``label`` rows with measure(top) / measure(bottom).
 
-    Both genders of a key meet in one conditional aggregation instead of two self joins. The
-    output stays as it was where the key lacks a top or a bottom row.
+    ``df`` holds one row per key and ``over``, so a key's window is a handful of rows and both
+    genders are read in one pass. The output stays as it was where a key lacks one of them.
     """
-    def side(names: Sequence[str]) -> Column:
-        return F.upper(F.col(over)).isin(*names)
+    per_key = Window.partitionBy(*keys)
 
-    found = df.groupBy(*keys).agg(
-        F.count_if(side(top)).alias("_tops"), F.count_if(side(bottom)).alias("_bottoms"),
-        *[F.max(F.when(side(top), F.col(m))).alias(f"_t_{o}") for o, m in measures.items()],
-        *[F.max(F.when(side(bottom), F.col(m))).alias(f"_b_{o}") for o, m in measures.items()],
-    )
-    joined = df.join(found, list(keys), "left")
-    is_total = (F.upper(F.col(over)) == label) & (F.col("_tops") > 0) & (F.col("_bottoms") > 0)
-    for o in measures:
-        value = F.when(
-            F.col(f"_b_{o}") > 0,
-            ratio(F.coalesce(F.col(f"_t_{o}"), F.lit(0)), F.col(f"_b_{o}"), scale),
-        )
-        joined = joined.withColumn(
-            o, F.when(is_total, value.cast(df.schema[o].dataType)).otherwise(F.col(o))
-        )
-    return joined.select(df.columns)
+    def pick(names: Sequence[str], measure: str) -> Column:
+        side = F.upper(F.col(over)).isin(*names)
+        return F.max(F.when(side, F.struct(F.lit(True).alias("present"), F.col(measure).alias("m")))).over(per_key)
+
+    for o, m in measures.items():
+        df = df.withColumns({"_top": pick(top, m), "_bottom": pick(bottom, m)})
+        both = F.col("_top").isNotNull() & F.col("_bottom").isNotNull()
+        numerator, denominator = F.coalesce(F.col("_top.m"), F.lit(0)), F.col("_bottom.m")
+        value = F.when(denominator > 0, ratio(numerator, denominator, scale)).cast(df.schema[o].dataType)
+        is_total = F.upper(F.col(over)) == label
+        df = df.withColumn(o, F.when(is_total & both, value).otherwise(F.col(o))).drop("_top", "_bottom")
+    return df
 
 
 # The aggregates a report metric may name.
@@ -107,9 +110,3 @@ def apply_metric(
     if limit is None:
         return grouped
     return grouped.orderBy(F.col(name).desc_nulls_last(), *keys).limit(limit)
-
-
-__all__ = [
-    "METRICS", "apply_metric", "attach_max", "is_true", "keyword_flags", "parity", "pivot_max",
-    "with_totals",
-]

@@ -60,7 +60,8 @@ def extract_learners(t: Tables) -> DataFrame:
         full_given_name(F.col("first_name"), F.col("other_names")).alias("given_name"),
         F.col("birth_date").alias("date_of_birth"), "gender",
         nationality(F.col("country")).alias("nationality"), "district_of_birth_id",
-        *kinds, "is_flagged_yn", "deleted_at", "date_created", "date_updated",
+        *kinds, "is_flagged_yn", "is_father_dead", "is_mother_dead", "deleted_at", "date_created",
+        "date_updated",
     )
 
 
@@ -79,7 +80,7 @@ def extract_enrolments(t: Tables) -> DataFrame:
     return t["src.learner_enrolments"].filter("is_enrolment_active_yn").select(
         "id", "learner_id", "school_id", "academic_year_id", "teaching_period_id",
         "reporting_status_id", F.col("promotion_status_id").alias("learner_promotion_status_id"),
-        "is_enrolment_active_yn", "date_created", "date_updated",
+        "enrolment_type_id", "is_enrolment_active_yn", "date_created", "date_updated",
     )
 
 
@@ -176,13 +177,9 @@ def _schools(t: Tables) -> DataFrame:
 def flatten_enrolments(t: Tables, as_of: date) -> DataFrame:
     """One wide row per active enrolment.
 
-    Joins run in the order of their keys: enrolment id, then learner, then the small period and
-    school tables, so the enrolments are shuffled once per big key.
+    The enrolments are shuffled twice, by enrolment id to meet their class and by learner; the
+    extracts carry what the source tables would otherwise have to be joined for again.
     """
-    types = lookup(
-        t["src.learner_enrolments"].select("id", "enrolment_type_id"), t["src.setting_enrolment_types"],
-        "enrolment_type_id", {"name": "type_name"},
-    ).select(F.col("id").alias("_enrolment"), "type_name")
     classes = t["stg.enrolments_subtype_raw"].select(
         F.col("enrolment_id").alias("_class_of"), F.col("education_class_name").alias("grade"), "school_level"
     )
@@ -190,28 +187,22 @@ def flatten_enrolments(t: Tables, as_of: date) -> DataFrame:
     disabled = keyword_flags(
         t["stg.learner_disabilities_raw"], "learner_id", "disability_type", DISABILITY_WORDS
     ).withColumnRenamed("learner_id", "_disabled")
-    parents = t["src.learners"].select(
-        F.col("person_id").alias("_parents_of"), "is_father_dead", "is_mother_dead"
-    )
-    learners = (
-        t["stg.learners_raw"].select(
-            "person_id", "lin", "gender", "date_of_birth", "nationality", *IDENTITY_KINDS
-        )
-        .join(parents, F.col("person_id") == F.col("_parents_of"))
-        .join(disabled, F.col("person_id") == F.col("_disabled"), "left")
-    )
+    learners = t["stg.learners_raw"].select(
+        "person_id", "lin", "gender", "date_of_birth", "nationality", *IDENTITY_KINDS,
+        "is_father_dead", "is_mother_dead",
+    ).join(disabled, F.col("person_id") == F.col("_disabled"), "left")
     e = t["stg.enrolments_raw"].select(
         F.col("id").alias("enrolment_source_id"), F.col("learner_id").alias("learner_source_id"),
         F.col("school_id").alias("school_source_id"), "teaching_period_id",
-        F.col("is_enrolment_active_yn").alias("is_active"),
+        "enrolment_type_id", F.col("is_enrolment_active_yn").alias("is_active"),
     )
     wide = (
-        e.join(types, F.col("enrolment_source_id") == F.col("_enrolment"))
-        .join(classes, F.col("enrolment_source_id") == F.col("_class_of"), "left")
+        e.join(classes, F.col("enrolment_source_id") == F.col("_class_of"), "left")
         .join(learners, F.col("learner_source_id") == F.col("person_id"))
         .join(_periods(t), F.col("teaching_period_id") == F.col("_period"))
         .join(_schools(t), F.col("school_source_id") == F.col("_school"))
     )
+    wide = lookup(wide, t["src.setting_enrolment_types"], "enrolment_type_id", {"name": "type_name"})
     false = F.lit(False)
     return wide.select(
         "enrolment_source_id", "learner_source_id", "school_source_id", "academic_year", "term",

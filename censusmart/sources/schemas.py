@@ -312,6 +312,10 @@ DDL: dict[str, str] = {
 DDL["dw_audit.dq_check_log"] += """,
         run_date DATE, mart STRING, check_sql STRING, result STRING, row_count BIGINT,
         severity STRING, notes STRING"""
+# Two extracts carry columns of their source that the flat step needs; without them it would have to
+# join the whole source table again.
+DDL["stg.enrolments_raw"] += ", enrolment_type_id BIGINT"
+DDL["stg.learners_raw"] += ", is_father_dead BOOLEAN, is_mother_dead BOOLEAN"
 DDL["dw.school_district_map"] = "school_dim_id BIGINT, district_id BIGINT, district_name STRING"
 
 

@@ -295,7 +295,7 @@ VIEWS: dict[str, str] = {
     "lines":
         "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS ln, min(l_partkey) AS partkey, min(l_suppkey) AS suppkey, "
         "min(l_shipdate) AS shipdate, CAST(min(l_quantity) AS BIGINT) AS qty, min(l_extendedprice) AS price, "
-        "min(l_discount) AS discount, min(l_tax) AS tax, min(l_returnflag) AS flag, min(l_linestatus) AS line_status "
+        "min(l_discount) AS discount, min(l_tax) AS tax "
         "FROM {lineitem} GROUP BY l_orderkey, l_linenumber",
     "src_persons":
         "SELECT o_orderkey * 4 AS id, 'S' || CAST(o_custkey AS STRING) AS surname, "
@@ -434,13 +434,15 @@ VIEWS: dict[str, str] = {
         "SELECT o_orderkey * 4 AS person_id, 'LIN' || CAST(o_orderkey AS STRING) AS lin, " + LEARNER_COLUMNS["gender"] + " AS gender, "
         "CASE WHEN o_totalprice > 20000 THEN CAST(o_orderdate AS DATE) END AS date_of_birth, "
         + LEARNER_COLUMNS["nationality"] + " AS nationality, " + LEARNER_COLUMNS["nin"] + " AS nin, CAST(NULL AS STRING) AS passport_no, "
-        "'SP' || CAST(o_custkey AS STRING) AS student_pass_no, CAST(NULL AS STRING) AS work_permit_no, CAST(NULL AS STRING) AS refugee_id "
+        "'SP' || CAST(o_custkey AS STRING) AS student_pass_no, CAST(NULL AS STRING) AS work_permit_no, CAST(NULL AS STRING) AS refugee_id, "
+        "CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS is_father_dead, "
+        "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN TRUE WHEN '2' THEN FALSE WHEN '3' THEN TRUE END AS is_mother_dead "
         "FROM {orders} WHERE o_totalprice >= 10000",
     "stg_learner_disabilities_raw":
         "SELECT d.id, d.learner_id, s.name AS disability_type FROM {src_learner_disabilities} d "
         "JOIN {src_setting_disability_types} s ON s.id = d.disability_type_id",
     "stg_enrolments_raw":
-        "SELECT id, learner_id, school_id, academic_year_id, teaching_period_id, is_enrolment_active_yn FROM {src_learner_enrolments} "
+        "SELECT id, learner_id, school_id, academic_year_id, teaching_period_id, enrolment_type_id, is_enrolment_active_yn FROM {src_learner_enrolments} "
         "WHERE is_enrolment_active_yn",
     "stg_enrolments_subtype_raw":
         "SELECT id AS enrolment_id, 'LEVEL ' || CAST(familiar_language_id AS STRING) AS school_level, "

@@ -216,7 +216,7 @@ SELECT l.person_id, l.lin, p.surname, trim(coalesce(p.first_name, '') || ' ' ||
  (SELECT max(document_id) FROM i WHERE i.person_id = l.person_id AND contains(kind, 'PASSPORT')) AS passport_no,
  (SELECT max(document_id) FROM i WHERE i.person_id = l.person_id AND kind LIKE '%STUDENT%PASS%') AS student_pass_no,
  (SELECT max(document_id) FROM i WHERE i.person_id = l.person_id AND kind LIKE '%WORK%PERMIT%') AS work_permit_no,
- (SELECT max(document_id) FROM i WHERE i.person_id = l.person_id AND contains(kind, 'REFUGEE')) AS refugee_id, l.is_flagged_yn, l.date_created
+ (SELECT max(document_id) FROM i WHERE i.person_id = l.person_id AND contains(kind, 'REFUGEE')) AS refugee_id, l.is_flagged_yn, l.is_father_dead, l.is_mother_dead, l.date_created
 FROM {src_learners} l JOIN {src_persons} p ON p.id = l.person_id LEFT JOIN {src_admin_unit_countries} c ON c.id = p.country_id WHERE l.deleted_at IS NULL""")
 def learners_extract(t):
     return enrolment.extract_learners(t).drop("deleted_at", "date_updated")
@@ -227,7 +227,7 @@ def disabilities_extract(t):
     return enrolment.extract_disabilities(t).drop("severity", "date_updated")
 
 
-@query("""SELECT id, learner_id, school_id, academic_year_id, teaching_period_id, reporting_status_id, promotion_status_id AS learner_promotion_status_id, is_enrolment_active_yn, date_created
+@query("""SELECT id, learner_id, school_id, academic_year_id, teaching_period_id, reporting_status_id, promotion_status_id AS learner_promotion_status_id, enrolment_type_id, is_enrolment_active_yn, date_created
 FROM {src_learner_enrolments} WHERE is_enrolment_active_yn IS TRUE""")
 def enrolments_extract(t):
     return enrolment.extract_enrolments(t).drop("date_updated")
