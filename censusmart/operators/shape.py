@@ -96,17 +96,18 @@ METRICS = {
 
 
 def apply_metric(
-    dataset: DataFrame, dims: Sequence[str], metric: tuple[str, str], series: Sequence[str] = (),
-    limit: int | None = None, label: str | None = None,
+    dataset: DataFrame, dims: Sequence[str], metrics: Sequence[tuple[str, str]], series: Sequence[str] = (),
+    limit: int | None = None,
 ) -> DataFrame:
-    """A chart's query over a dataset: one aggregate by dimensions and series, largest first.
+    """A chart's query over a dataset: aggregates by dimensions and series, largest first metric first.
 
-    ``metric`` is ``(aggregate, column)``; the result column is named ``label`` or like the column.
+    A metric is ``(aggregate, column)``; its result carries the column's name.
     """
-    how, column = metric
-    name = label or column
     keys = [*dims, *series]
-    grouped = dataset.groupBy(*keys).agg(METRICS[how](F.col(column)).alias(name))
+    grouped = dataset.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        *[METRICS[how](F.col(f"`{column}`")).alias(column) for how, column in metrics]
+    )
     if limit is None:
         return grouped
-    return grouped.orderBy(F.col(name).desc_nulls_last(), *keys).limit(limit)
+    first = F.col(f"`{metrics[0][1]}`")
+    return grouped.orderBy(first.desc_nulls_last(), *[F.col(f"`{k}`").asc_nulls_last() for k in keys]).limit(limit)

@@ -49,6 +49,33 @@ DISABILITY_TYPES = [
     ("COMMUNICATION", "Communication Difficulty", "Difficulty communicating using usual language"),
 ]
 
+POPULATION_YEAR = 2025
+
+# Stated population per district in that year, (district, male, female).
+POPULATION = [
+    ("KAMPALA CITY", 1020940, 810220), ("Kalangala", 48260, 31180), ("Kiboga", 99760, 91780),
+    ("Luweero", 312700, 342310), ("Masaka", 60530, 61890), ("Mpigi", 159340, 187050),
+    ("Mubende", 265210, 286110), ("Mukono", 483590, 510920), ("Nakasongola", 122970, 119530),
+    ("Rakai", 197140, 154420), ("Ssembabule", 165090, 156780), ("Kayunga", 219560, 242140),
+    ("Wakiso", 1977220, 1720380), ("Lyantonde", 75430, 63440), ("Mityana", 209010, 223250),
+    ("Nakaseke", 132260, 132390), ("Buikwe", 260820, 285930), ("Bukomansimbi", 94480, 112280),
+    ("Butambala", 80280, 68930), ("Buvuma", 62810, 56710), ("Gomba", 104520, 108300),
+    ("Kalungu", 108920, 127520), ("Kyankwanzi", 145020, 154920), ("Lwengo", 148940, 197460),
+    ("Kyotera", 136740, 148920), ("Kassanda", 164530, 172740), ("Masaka City", 165380, 150370),
+]
+
+
+def stated_population(spark: SparkSession) -> DataFrame:
+    """Rows for men, women and both per district: a source table for the population load."""
+    stated = spark.createDataFrame(POPULATION, "district_name string, m bigint, f bigint")
+    sexes = F.array(*[
+        F.struct(F.lit(sex).alias("sex"), total.alias("total_population"))
+        for sex, total in (("M", F.col("m")), ("F", F.col("f")), ("TOTAL", F.col("m") + F.col("f")))
+    ])
+    return stated.select(
+        "district_name", F.lit(POPULATION_YEAR).alias("year"), F.inline(sexes),
+    ).withColumn("data_source", F.lit(None).cast("string"))
+
 
 def grade_dim(spark: SparkSession) -> DataFrame:
     rows = [(i, *g, i) for i, g in enumerate(GRADES, 1)]

@@ -153,7 +153,9 @@ MARTS: dict[str, list[Step]] = {
 }
 
 # Suites that end each mart, and whether a failed check stops the run.
-MART_SUITES = {m: [m] for m in MARTS} | {"schools": ["schools", "schools_nightly"]}
+MART_SUITES = {m: [m] for m in MARTS} | {
+    "schools": ["schools", "schools_nightly"], "indicators": ["indicators", "supplementary"],
+}
 STRICT = {"enrolment", "teachers", "non_teaching_staff"}
 
 

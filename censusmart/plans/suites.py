@@ -7,9 +7,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from censusmart.functions.numbers import is_true
+from censusmart.operators.hierarchy import climb, several_districts
 from censusmart.operators.quality import (
     Rule, Suite, VarianceRule, distinct_values, gaps, informative, non_empty, none_allowed, orphans, repeated,
-    uncovered, variance,
+    rows, uncovered, variance,
 )
 from censusmart.plans.common import Tables
 
@@ -18,6 +19,7 @@ EXPECTED_SCHOOLS = 80_000
 EXPECTED_DISTRICTS = 100
 TOLERATED_ROWS = 1_000
 LONGEST_POSTING_DAYS = 7_300
+YEARS = (2000, 2100)
 
 
 def _warning(detail: str) -> Rule:
@@ -240,8 +242,36 @@ def indicators(t: Tables, as_of: date) -> Suite:
     return s
 
 
+def supplementary(t: Tables, as_of: date) -> Suite:
+    """Conditions that change results without breaking a rule of the marts above.
+
+    Units that climb to several districts multiply their schools' counts; schools outside the
+    hierarchy drop out of the district indicators; facts that point at expired versions drop out
+    of all indicators; and a year joined from two numbers lies outside any calendar.
+    """
+    units, dim = t["dw.admin_units_dim"], t["dw.schools_dim"].filter("is_current")
+    reach = climb(units)
+    year = F.col("academic_year")
+    s = Suite("SUPPLEMENTARY")
+    s.add("units_with_several_districts", _warn("units in several districts"), rows, several_districts(units))
+    s.add("schools_without_district", _warn("current schools outside the hierarchy"), uncovered, dim,
+          ["admin_unit_id"], reach, ["unit_dim_id"])
+    s.add("enrolments_of_expired_learners", _warn("enrolments of expired learner versions"), orphans,
+          t["dw.enrolment_fact"], "learner_id", t["dw.learner_dim"].filter("is_current"))
+    s.add("hr_rows_of_expired_teachers", _warn("HR rows of expired teacher versions"), orphans,
+          t["dw.hr_fact"], "teacher_id", t["dw.teacher_dim"].filter("is_current"))
+    s.scan(t["stg.enrolments_flat"], {
+        "implausible_academic_year": ((year < YEARS[0]) | (year > YEARS[1]), _warn("academic year out of range")),
+    })
+    s.scan(t["stg.population_raw"], {
+        "population_district_unmatched": (F.col("district_source_id").isNull() & (F.col("sex") == "TOTAL"),
+                                          _warn("districts not found by name")),
+    })
+    return s
+
+
 SUITES = {
     "schools_nightly": nightly_schools, "schools": schools, "enrolment": enrolment, "teachers": teachers,
     "non_teaching_staff": staff, "infrastructure": infrastructure, "teaching_subjects": subjects,
-    "teacher_transfers": transfers, "indicators": indicators,
+    "teacher_transfers": transfers, "indicators": indicators, "supplementary": supplementary,
 }

@@ -79,11 +79,10 @@ def test_initial_load_resolves_through_the_earliest_versions(loaded):
     assert dim.filter("not is_current").count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(DATASETS))
-def test_reports_run_on_the_warehouse(loaded, name):
+def test_reports_run_on_the_warehouse(loaded):
     _, store, _ = loaded
-    result = DATASETS[name](store)
-    assert result.columns and result.limit(1).count() == 1
+    empty = [name for name, dataset in DATASETS.items() if dataset(store).isEmpty()]
+    assert empty == []
 
 
 def test_totals_equal_the_sum_of_both_genders(loaded):
@@ -104,8 +103,8 @@ def test_audit_rows(loaded):
     steps = runner.steps_of(store.read("dw_audit.etl_step_log"), 2).collect()
     assert [s.step_name for s in steps] == [s.table for s in runner.MARTS["enrolment"]]
     checks = store.read("dw_audit.dq_check_log")
-    assert checks.select("mart").distinct().count() == 9
-    assert checks.count() == 7 + 7 + 9 + 8 + 8 + 9 + 8 + 10 + 10
+    assert checks.select("mart").distinct().count() == 10
+    assert checks.count() == 7 + 7 + 9 + 8 + 8 + 9 + 8 + 10 + 10 + 6
 
 
 def test_second_merge_on_the_same_day_is_refused(loaded, spark):

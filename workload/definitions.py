@@ -139,7 +139,7 @@ STAFF_COLUMNS = {
     "category": _choose("p_size % 3", "ADMINISTRATIVE", "SUPPORT", None),
     "role": "CASE WHEN p_size > 10 THEN 'ROLE ' || p_type END",
     "highest_education_level": _choose("p_size % 4", "CERTIFICATE", "DIPLOMA", "DEGREE", None),
-    "employment_status": "CASE WHEN p_retailprice > 1000 THEN 'PERMANENT' ELSE 'CONTRACT' END",
+    "employment_status": "CASE WHEN p_retailprice > 950 THEN 'PERMANENT' ELSE 'CONTRACT' END",
     "is_on_government_payroll": _flag("p_partkey"),
 }
 
@@ -401,7 +401,7 @@ VIEWS: dict[str, str] = {
             f"{_flag(f'p_size + {i}')} AS {c}" for i, c in enumerate(
                 ("is_lab_yn", "is_sanitation_yn", "is_area_captured_yn", "gender_usage_yn", "user_category_yn",
                  "is_for_pre_primary", "is_for_primary", "is_for_secondary")))
-        + " FROM {part} WHERE p_retailprice < 1000",
+        + " FROM {part} WHERE p_retailprice < 970",
     "src_school_building_status_updates":
         "SELECT l_orderkey * 10 + ln AS id, suppkey AS school_id, partkey AS building_id, "
         "CAST(CASE WHEN tax > 0.07 THEN 99 ELSE year(shipdate) - 1994 END AS BIGINT) AS academic_year_id, ln % 6 AS teaching_period_id, "
@@ -502,7 +502,7 @@ VIEWS: dict[str, str] = {
         "SELECT p_partkey * 4 + 2 AS person_id, suppkey AS school_id, " + _year("shipdate") + " AS academic_year, "
         + _term("shipdate") + " AS term, CASE WHEN ln = 7 THEN NULL ELSE make_date(" + _year("shipdate") + ", "
         "CAST(CASE WHEN month(shipdate) >= 9 THEN 9 WHEN month(shipdate) >= 6 THEN 6 ELSE 2 END AS INT), CAST(1 AS INT)) END AS term_start_date, "
-        + STAFF_COLUMNS["gender"] + " AS gender, CASE WHEN p_retailprice > 1500 THEN 'SUPPORT' ELSE " + STAFF_COLUMNS["category"]
+        + STAFF_COLUMNS["gender"] + " AS gender, CASE WHEN p_retailprice > 960 THEN 'SUPPORT' ELSE " + STAFF_COLUMNS["category"]
         + " END AS category, " + STAFF_COLUMNS["role"] + " AS role, " + STAFF_COLUMNS["highest_education_level"] + " AS highest_education_level, "
         + STAFF_COLUMNS["employment_status"] + " AS employment_status, " + _flag("p_partkey") + " AS is_on_government_payroll, "
         "TRUE AS is_primary_school FROM {lines} JOIN {part} ON p_partkey = partkey",
@@ -543,7 +543,7 @@ VIEWS: dict[str, str] = {
         TEACHER_COLUMNS, "", "customer", "c_custkey * 10", "c_acctbal < 2000", TEACHER_HASHED,
         {"teacher_type": "'QUALIFIED'", "highest_education_level": "'MASTERS'"}),
     "dw_non_teaching_staff_dim": _versions(
-        STAFF_COLUMNS, "", "part", "p_partkey * 10", "p_retailprice < 1000", STAFF_HASHED, {"category": "'SUPPORT'"}),
+        STAFF_COLUMNS, "", "part", "p_partkey * 10", "p_retailprice < 930", STAFF_HASHED, {"category": "'SUPPORT'"}),
     "dw_grade_dim":
         "SELECT CAST(n_nationkey AS BIGINT) AS id, CASE WHEN n_nationkey < 7 THEN 'P' || CAST(n_nationkey + 1 AS STRING) "
         "WHEN n_nationkey = 7 THEN 'BC' ELSE 'S' || CAST(n_nationkey AS STRING) END AS grade_code, "

@@ -628,15 +628,15 @@ def breakdown_unknown(w):
     return rows.withColumn("kind", lab.or_label(F.upper("kind")))
 
 
-@query("""SELECT o_orderstatus, academic_year, max(o_orderkey) AS m FROM {order_terms} GROUP BY ALL ORDER BY m DESC, o_orderstatus, academic_year LIMIT 9""")
+@query("""SELECT o_orderstatus, academic_year, max(o_orderkey) AS o_orderkey FROM {order_terms} GROUP BY ALL ORDER BY 3 DESC, o_orderstatus, academic_year LIMIT 9""")
 def metric_layer(w):
     """A chart over a dataset: maximum by status, one series per year, nine rows."""
-    return shape.apply_metric(w["order_terms"], ["o_orderstatus"], ("MAX", "o_orderkey"), ["academic_year"], 9, "m")
+    return shape.apply_metric(w["order_terms"], ["o_orderstatus"], [("MAX", "o_orderkey")], ["academic_year"], 9)
 
 
-@query("SELECT term, count(DISTINCT o_custkey) AS customers FROM {order_terms} GROUP BY term")
+@query("SELECT term, count(DISTINCT o_custkey) AS o_custkey, CAST(sum(o_orderkey) AS DOUBLE) / count(*) AS o_orderkey, min(day) AS day FROM {order_terms} GROUP BY term")
 def metric_distinct(w):
-    return shape.apply_metric(w["order_terms"], ["term"], ("COUNT_DISTINCT", "o_custkey"), label="customers")
+    return shape.apply_metric(w["order_terms"], ["term"], [("COUNT_DISTINCT", "o_custkey"), ("AVG", "o_orderkey"), ("MIN", "day")])
 
 
 # ----------------------------------------------------------------------------- loads and audit

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from censusmart.reports import DATASETS
-from censusmart.operators.shape import apply_metric
-from workload.registry import mean, pct, plain, query, register
+from censusmart.reports.charts import CHARTS, chart
+from workload.registry import mean, pct, plain, register
 
 MAP = "{dw_school_district_map}"
 
@@ -168,7 +168,17 @@ for dataset_name, dataset in DATASETS.items():
     register(dataset_name, lambda w, _build=dataset: plain(_build(w)), SQL[dataset_name])
 
 
-@query(f"SELECT academic_year, school_level, max(total_enrolment) AS total_enrolment FROM ({SQL['indicators_enrolment_trend']}) AS d GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5")
-def metric_over_dataset(w):
-    """A chart's metric over a named dataset: the largest value by year, one series per level."""
-    return apply_metric(DATASETS["indicators_enrolment_trend"](w), ["academic_year"], ("MAX", "total_enrolment"), ["school_level"], 5)
+def chart_sql(name: str) -> str:
+    spec = CHARTS[name]
+    keys = ", ".join(f'"{k}"' for k in [*spec.dims, *spec.series])
+    values = ", ".join(
+        f'CAST(sum("{c}") AS BIGINT) AS "{c}"' if how == "SUM" else f'max("{c}") AS "{c}"' if how == "MAX"
+        else f'sum("{c}") / count("{c}") AS "{c}"' for how, c in spec.metrics)
+    tail = f' GROUP BY {keys}' if keys else ""
+    order = f' ORDER BY "{spec.metrics[0][1]}" DESC, {keys} LIMIT {spec.limit}' if spec.limit else ""
+    return f"SELECT {keys + ', ' if keys else ''}{values} FROM ({SQL[name]}) AS d{tail}{order}"
+
+
+for chart_name in CHARTS:
+    # The averages of one-row groups divide by one: both engines give the value itself.
+    register(f"chart_{chart_name}", lambda w, _name=chart_name: plain(chart(w, _name)), chart_sql(chart_name))
