@@ -96,7 +96,11 @@ def orphans(name: str, child: DataFrame, column: str, parent: DataFrame, key: st
     """
     refs = child.groupBy(F.col(column).alias("_ref")).count()
     lost = refs.join(parent.select(F.col(key).alias("_ref")), "_ref", "left_anti")
-    return lost.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("row_count")).select(
+    return _summed(name, lost)
+
+
+def _summed(name: str, counted: DataFrame) -> DataFrame:
+    return counted.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("row_count")).select(
         F.lit(name).alias("check_name"), F.col("row_count").cast("bigint"),
         F.lit(None).cast("bigint").alias("base"),
     )
@@ -105,10 +109,14 @@ def orphans(name: str, child: DataFrame, column: str, parent: DataFrame, key: st
 def uncovered(
     name: str, rows_: DataFrame, keys: Sequence[str], cover: DataFrame, cover_keys: Sequence[str]
 ) -> DataFrame:
-    """Rows whose key does not occur in ``cover``."""
+    """Rows whose key does not occur in ``cover``; keys that are NULL are never covered.
+
+    Like references, the rows are first reduced to their different keys with a count.
+    """
+    asked = rows_.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).count()
     seen = cover.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(cover_keys)]).distinct()
-    on = [F.col(k) == F.col(f"_c{i}") for i, k in enumerate(keys)]
-    return _counted(name, rows_.join(seen, on, "left_anti"))
+    on = [F.col(f"_k{i}") == F.col(f"_c{i}") for i in range(len(keys))]
+    return _summed(name, asked.join(seen, on, "left_anti"))
 
 
 def repeated(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from censusmart.functions.calendar import calendar_dim
 from censusmart.operators.hierarchy import district_map
-from censusmart.operators.keys import require_unique
 from censusmart.operators.quality import raise_on_failure
 from censusmart.operators.scd2 import require_later
 from censusmart.plans import (
@@ -46,8 +45,8 @@ class Workspace(dict):
 class Step:
     """Build ``table`` and write it: ``refresh``, ``absent`` or ``upsert`` on ``keys``.
 
-    ``versioned`` marks a dimension merge: it is refused for a date it already covers, and its
-    surrogate ids are proven unique before it is published.
+    ``versioned`` names a dimension's current flag: its merge is refused for a date it already
+    covers and rewrites the current rows only, and its surrogate ids are checked for uniqueness.
     """
 
     table: str
@@ -90,7 +89,7 @@ MARTS: dict[str, list[Step]] = {
         Step("stg.schools_flat", schools.flatten_schools),
         _dimension("dw.schools_dim", schools.merge_schools),
         _dimension("dw.school_location_details_dim", schools.merge_locations),
-        Step("dw.school_fact", schools.school_snapshot, "absent", ("school_id", "date_id"), partition=None),
+        Step("dw.school_fact", schools.school_snapshot, "absent", ("school_id", "date_id"), partition="date_id"),
         Step("dw.school_district_map", _plain(_map)),
     ],
     "enrolment": [
@@ -179,6 +178,10 @@ def _write(space: Workspace, step: Step, as_of: date, rerun: bool) -> DataFrame:
     store = space.warehouse
     if step.versioned and not rerun:
         require_later(store.read(step.table), as_of, step.versioned)
+    if step.versioned:
+        # The merge sees the current versions only; the history stays where it is.
+        space = Workspace(space.sources, store)
+        space[step.table] = store.read(step.table).filter(step.versioned)
     df = step.build(space, as_of)
     stamps = [c for c in STAMPS if c in schema(step.table).names and c not in df.columns]
     df = df.withColumns({c: F.current_timestamp() for c in stamps})
@@ -186,10 +189,9 @@ def _write(space: Workspace, step: Step, as_of: date, rerun: bool) -> DataFrame:
         return store.load_absent(step.table, df, step.keys, [step.partition] if step.partition else [])
     if step.write == "upsert":
         return store.load_upsert(step.table, df, step.keys, [*step.updates, *stamps], step.partition)
-    written = store.refresh(step.table, df)
     if step.versioned:
-        require_unique(written, ["id"], step.table)
-    return written
+        return store.load_versions(step.table, df, step.versioned, as_of)
+    return store.refresh(step.table, df)
 
 
 def run_mart(

@@ -4,24 +4,31 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from censusmart.operators.keys import require_unique
 from censusmart.operators.upsert import absent, upsert
 from censusmart.sources.files import conform, empty
 from censusmart.sources.schemas import schema
 
 BATCH = "__batch"
-POINTERS = "table_name string, folder string, seq bigint"
+POINTERS = "table_name string, seq bigint, folder string, current_col string, past array<string>"
 
 
 class Warehouse:
     """Tables under one root folder on storage that all executors share.
 
     A refresh writes a new folder and then appends one pointer row, so readers see the old or the
-    new table and a failed job leaves no trace but an unused folder. The root defaults to the
-    folder the cluster names in ``spark.checkpoint.dir``.
+    new table and a failed job leaves no trace but an unused folder. A versioned dimension has one
+    folder of current rows and a list of folders with expired ones: a merge reads and replaces the
+    current rows only, however long the history is. The root defaults to the folder the cluster
+    names in ``spark.checkpoint.dir``.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -30,39 +37,52 @@ class Warehouse:
         if not base:
             raise ValueError("give a root folder or set spark.checkpoint.dir")
         self.root = base.rstrip("/")
-        self._folders: dict[str, tuple[int, str]] | None = None
+        self._latest: dict[str, Row] | None = None
 
-    def _pointers(self) -> dict[str, tuple[int, str]]:
-        """Current folder of every table; one small row per table and refresh."""
-        if self._folders is None:
+    def _pointers(self) -> dict[str, Row]:
+        """Newest pointer of every table; one small row per table and refresh."""
+        if self._latest is None:
             try:
                 log = self.spark.read.schema(POINTERS).json(f"{self.root}/_pointers")
-                newest = log.groupBy("table_name").agg(F.max(F.struct("seq", "folder")).alias("p"))
-                self._folders = {r.table_name: (r.p.seq, r.p.folder) for r in newest.collect()}
-            except Exception as missing:
-                if "PATH_NOT_FOUND" not in str(missing):
+                newest = log.groupBy("table_name").agg(F.max_by(F.struct(*log.columns), "seq").alias("p"))
+                self._latest = {r.table_name: r.p for r in newest.collect()}
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
                     raise
-                self._folders = {}
-        return self._folders
+                self._latest = {}
+        return self._latest
 
-    def _point(self, table: str, folder: str) -> None:
-        seq = self._pointers().get(table, (0, ""))[0] + 1
-        row = self.spark.createDataFrame([(table, folder, seq)], POINTERS)
-        row.coalesce(1).write.mode("append").json(f"{self.root}/_pointers")
-        self._pointers()[table] = (seq, folder)
+    def _point(self, table: str, folder: str | None, current_col: str | None = None, past: Sequence[str] = ()) -> None:
+        old = self._pointers().get(table)
+        row = (table, old.seq + 1 if old else 1, folder, current_col, list(past))
+        df = self.spark.createDataFrame([row], POINTERS)
+        df.coalesce(1).write.mode("append").json(f"{self.root}/_pointers")
+        self._pointers()[table] = Row(*df.columns)(*row)
 
     def exists(self, table: str) -> bool:
         return table in self._pointers()
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{self._pointers()[table][1]}"
+        return f"{self.root}/{self._pointers()[table].folder}"
 
     def read(self, table: str) -> DataFrame:
         """The table, or an empty frame with its declared schema before the first load."""
         declared = schema(table.removesuffix(BATCH))
         if not self.exists(table):
             return empty(self.spark, declared)
-        return self.spark.read.schema(declared).parquet(self.path(table)).select(declared.names)
+        at = self._pointers()[table]
+        if at.current_col is None:
+            return self.spark.read.schema(declared).parquet(self.path(table)).select(declared.names)
+        sides = [(True, [at.folder] if at.folder else []), (False, at.past or [])]
+        return reduce(DataFrame.unionByName, [
+            self._versions(declared, at.current_col, flag, folders) for flag, folders in sides if folders
+        ])
+
+    def _versions(self, declared: T.StructType, current_col: str, flag: bool, folders: list[str]) -> DataFrame:
+        """Versions of one kind. The flag is a constant, so a filter on it drops the other kind's scan."""
+        stored = T.StructType([f for f in declared.fields if f.name != current_col])
+        df = self.spark.read.schema(stored).parquet(*[f"{self.root}/{f}" for f in folders])
+        return df.withColumn(current_col, F.lit(flag)).select(declared.names)
 
     def __getitem__(self, table: str) -> DataFrame:
         return self.read(table)
@@ -75,6 +95,31 @@ class Warehouse:
         self._point(table, folder)
         return self.read(table)
 
+    def load_versions(self, table: str, merged: DataFrame, current_col: str, as_of: date) -> DataFrame:
+        """Publish a merge of the current rows: what it expired joins the history, the rest replaces
+        the current rows. ``merged`` holds no older history.
+
+        The ids that ``as_of`` added are proven unique, among all versions, before the switch.
+        """
+        old = self._pointers().get(table)
+        if old and old.current_col is None:
+            merged = merged.unionByName(self.read(table).filter(~F.col(current_col)), allowMissingColumns=True)
+        folder = f"{table}/{uuid.uuid4().hex}"
+        conform(merged, schema(table)).write.partitionBy(current_col).parquet(f"{self.root}/{folder}")
+        written = self.spark.read.parquet(f"{self.root}/{folder}")
+        ids = written.select("id")
+        past = list(old.past or []) if old else []
+        if past:
+            ids = ids.unionByName(self.read(table).filter(~F.col(current_col)).select("id"))
+        added = written.filter(F.col("effective_date") == F.lit(as_of)).select("id").distinct()
+        require_unique(ids.join(added, "id", "left_semi"), ["id"], table)
+
+        flags = {r[0] for r in written.select(F.col(current_col).cast("boolean")).distinct().collect()}
+        if False in flags:
+            past.append(f"{folder}/{current_col}=false")
+        self._point(table, f"{folder}/{current_col}=true" if True in flags else None, current_col, past)
+        return self.read(table)
+
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Add rows to the current folder; nothing already written is read or rewritten."""
         if not self.exists(table):

@@ -1,5 +1,7 @@
 """Reads, rejects, and the warehouse's writes."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,3 +123,21 @@ def test_cut_lineage(frame):
     cut = cut_lineage(df.withColumn("b", F.col("a") * 2))
     assert sorted(tuple(r) for r in cut.collect()) == [(1, 2), (2, 4)]
     assert "Project" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_versions_keep_history_and_replace_current_rows(store, frame, rows, tmp_path):
+    columns = "id bigint, source_id bigint, name string, effective_date date, is_current boolean"
+    d = [date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)]
+    table = "dw.schools_dim"
+    store.refresh(table, frame(columns, (1, 1, "a", d[0], True), (9, 9, "gone", d[0], False)))
+    store.load_versions(table, frame(columns, (1, 1, "a", d[0], False), (2, 1, "b", d[1], True)), "is_current", d[1])
+    got = store.load_versions(table, frame(columns, (2, 1, "b", d[1], False), (3, 1, "c", d[2], True)), "is_current", d[2])
+    assert rows(got, "id", "is_current") == [(1, False), (2, False), (3, True), (9, False)]
+    assert got.columns == schema(table).names
+    plan = got.filter("is_current")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+    assert rows(Warehouse(store.spark, store.root).read(table), "id") == [(1,), (2,), (3,), (9,)]
+    with pytest.raises(ValueError, match="repeats"):
+        clash = frame(columns, (3, 1, "c", d[2], False), (1, 2, "x", date(2024, 4, 1), True))
+        store.load_versions(table, clash, "is_current", date(2024, 4, 1))
+    assert rows(store.read(table), "id") == [(1,), (2,), (3,), (9,)]

@@ -167,11 +167,11 @@ EXPECTED: dict[str, tuple[str, dict[str, tuple[str, str, str]]]] = {
 }
 
 # The district of every unit, level by level from the top, as an independent form of the climb.
-REACH = """(WITH RECURSIVE up(id, source_id, at, left_) AS (
+REACH = """(WITH RECURSIVE up(id, source_id, top_id, left_) AS (
   SELECT id, source_id, id, CASE admin_unit_type WHEN 'District' THEN 0 WHEN 'County' THEN 1 WHEN 'Municipality' THEN 1 WHEN 'City' THEN 1 WHEN 'Sub County' THEN 2
     WHEN 'Town Council' THEN 2 WHEN 'Parish' THEN 3 WHEN 'Ward' THEN 3 END FROM {dw_admin_units_dim} WHERE current_status
-  UNION ALL SELECT up.id, p.source_id, p.id, left_ - 1 FROM up JOIN {dw_admin_units_dim} c ON c.id = up.at JOIN {dw_admin_units_dim} p ON p.source_id = c.child_id AND p.current_status WHERE left_ > 0)
-  SELECT up.id, at FROM up JOIN {dw_admin_units_dim} d ON d.id = up.at AND d.admin_unit_type = 'District' WHERE left_ = 0)"""
+  UNION ALL SELECT up.id, p.source_id, p.id, left_ - 1 FROM up JOIN {dw_admin_units_dim} c ON c.id = up.top_id JOIN {dw_admin_units_dim} p ON p.source_id = c.child_id AND p.current_status WHERE left_ > 0)
+  SELECT up.id, top_id FROM up JOIN {dw_admin_units_dim} d ON d.id = up.top_id AND d.admin_unit_type = 'District' WHERE left_ = 0)"""
 
 
 def expired(fact: str, column: str, dim: str) -> str:
@@ -179,7 +179,7 @@ def expired(fact: str, column: str, dim: str) -> str:
 
 
 EXPECTED["supplementary"] = ("SUPPLEMENTARY", {
-    "units_with_several_districts": none(f"(SELECT count(*) FROM (SELECT id FROM {REACH} AS r GROUP BY id HAVING count(DISTINCT at) > 1) AS g)", WARN),
+    "units_with_several_districts": none(f"(SELECT count(*) FROM (SELECT id FROM {REACH} AS r GROUP BY id HAVING count(DISTINCT top_id) > 1) AS g)", WARN),
     "schools_without_district": none(n(live(V), f"admin_unit_id NOT IN (SELECT id FROM {REACH} AS r)"), WARN),
     "enrolments_of_expired_learners": none(expired("dw_enrolment_fact", "learner_id", "dw_learner_dim"), WARN),
     "hr_rows_of_expired_teachers": none(expired("dw_hr_fact", "teacher_id", "dw_teacher_dim"), WARN),
