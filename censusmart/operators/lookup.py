@@ -75,7 +75,7 @@ def expand_periods(
     listed = F.sort_array(F.collect_list(F.struct(*fields)))
     too_many = F.raise_error(F.lit(f"more than {MAX_PERIODS} general periods; reduce them to one per term"))
     bounded = F.when(F.count(F.lit(1)) <= MAX_PERIODS, listed).otherwise(too_many)
-    as_array = general.agg(bounded.alias("p")).scalar()
+    as_array = general.limit(MAX_PERIODS + 1).agg(bounded.alias("p")).scalar()
     everywhere = people.withColumn("_p", F.explode(as_array)).select("*", "_p.*").drop("_p")
     if period_school is None:
         return everywhere
