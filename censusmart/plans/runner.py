@@ -47,6 +47,9 @@ class Step:
 
     ``versioned`` names a dimension's current flag: its merge is refused for a date it already
     covers and rewrites the current rows only, and its surrogate ids are checked for uniqueness.
+    ``staged`` names the staging table of an ``absent`` fact that holds its natural key (columns
+    renamed by ``staged_names``): rows already loaded are taken out there, so that only new rows
+    go through the fact's joins.
     """
 
     table: str
@@ -56,14 +59,17 @@ class Step:
     updates: tuple[str, ...] = ()
     partition: str | None = None
     versioned: str | None = None
+    staged: str | None = None
+    staged_names: tuple[tuple[str, str], ...] = ()
 
 
 def _plain(build: Callable[[Tables], DataFrame]) -> Callable[[Tables, date], DataFrame]:
     return lambda t, as_of: build(t)
 
 
-def _fact(table: str, build, keys, partition: str | None = YEAR) -> Step:
-    return Step(table, _plain(build), "absent", tuple(keys), partition=partition)
+def _fact(table: str, build, keys, staged: str, **names: str) -> Step:
+    return Step(table, _plain(build), "absent", tuple(keys), partition=YEAR, staged=staged,
+                staged_names=tuple(names.items()))
 
 
 def _upserted(table: str, build, keys, updates, partition: str | None = None) -> Step:
@@ -101,7 +107,7 @@ MARTS: dict[str, list[Step]] = {
         Step("stg.learner_transitions_raw", _plain(enrolment.extract_transitions)),
         Step("stg.enrolments_flat", enrolment.flatten_enrolments),
         _dimension("dw.learner_dim", enrolment.merge_learners),
-        _fact("dw.enrolment_fact", enrolment.enrolment_fact, enrolment.NATURAL_KEY),
+        _fact("dw.enrolment_fact", enrolment.enrolment_fact, enrolment.NATURAL_KEY, "stg.enrolments_flat"),
     ],
     "teachers": [
         Step("dw.teacher_type_dim", _plain(lookups.teacher_types)),
@@ -112,7 +118,8 @@ MARTS: dict[str, list[Step]] = {
         Step("stg.teacher_school_raw", _plain(teachers.extract_deployments)),
         Step("stg.teachers_flat", teachers.flatten_teachers),
         _dimension("dw.teacher_dim", teachers.merge_teachers),
-        _fact("dw.hr_fact", teachers.hr_fact, teachers.NATURAL_KEY),
+        _fact("dw.hr_fact", teachers.hr_fact, teachers.NATURAL_KEY, "stg.teachers_flat",
+              school_source_id="school_id"),
     ],
     "non_teaching_staff": [
         Step("dw.staff_category_dim", _plain(lookups.staff_categories)),
@@ -120,7 +127,8 @@ MARTS: dict[str, list[Step]] = {
         Step("stg.non_teaching_staff_raw", _plain(staff.extract_staff)),
         Step("stg.non_teaching_staff_flat", staff.flatten_staff),
         _dimension("dw.non_teaching_staff_dim", staff.merge_staff),
-        _fact("dw.non_teaching_staff_fact", staff.staff_fact, staff.NATURAL_KEY),
+        _fact("dw.non_teaching_staff_fact", staff.staff_fact, staff.NATURAL_KEY,
+              "stg.non_teaching_staff_flat", school_source_id="school_id"),
     ],
     "infrastructure": [
         Step("dw.infrastructure_type_dim", _plain(infrastructure.merge_types)),
@@ -174,6 +182,14 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _not_loaded(staged: DataFrame, fact: DataFrame, step: Step) -> DataFrame:
+    """Staged rows whose natural key the fact lacks; only the touched partitions are looked at."""
+    names = dict(step.staged_names)
+    loaded = fact.select(*[F.col(k).alias(names.get(k, k)) for k in step.keys])
+    loaded = loaded.join(staged.select(step.partition).distinct(), step.partition, "left_semi")
+    return staged.join(loaded, [names.get(k, k) for k in step.keys], "left_anti").select(staged.columns)
+
+
 def _write(space: Workspace, step: Step, as_of: date, rerun: bool) -> DataFrame:
     store = space.warehouse
     if step.versioned and not rerun:
@@ -182,9 +198,14 @@ def _write(space: Workspace, step: Step, as_of: date, rerun: bool) -> DataFrame:
         # The merge sees the current versions only; the history stays where it is.
         space = Workspace(space.sources, store)
         space[step.table] = store.read(step.table).filter(step.versioned)
+    if step.staged:
+        space = Workspace(space.sources, store)
+        space[step.staged] = _not_loaded(store.read(step.staged), store.read(step.table), step)
     df = step.build(space, as_of)
     stamps = [c for c in STAMPS if c in schema(step.table).names and c not in df.columns]
     df = df.withColumns({c: F.current_timestamp() for c in stamps})
+    if step.staged:
+        return store.append_batch(step.table, df, [step.partition])
     if step.write == "absent":
         return store.load_absent(step.table, df, step.keys, [step.partition] if step.partition else [])
     if step.write == "upsert":

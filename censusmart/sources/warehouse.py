@@ -142,8 +142,13 @@ class Warehouse:
         for column in partition_by:
             # Dynamic pruning: only partitions that the batch touches are scanned for keys.
             target = target.join(new.select(column).distinct(), column, "left_semi")
-        batch = self.refresh(f"{table}{BATCH}", absent(target, new, keys))
-        return self.append(table, batch, partition_by)
+        return self.append_batch(table, absent(target, new, keys), partition_by)
+
+    def append_batch(self, table: str, batch: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Append rows that were computed from the table itself: they are written aside first."""
+        if not self.exists(table):
+            return self.refresh(table, batch, partition_by)
+        return self.append(table, self.refresh(f"{table}{BATCH}", batch), partition_by)
 
     def load_upsert(
         self, table: str, new: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
