@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as registry
 from tests.conftest import SF
 from tools.compare import TABLES, normal
+from workload import QUERIES, SQL
 
 FAMILIES = [
     "scd2_change_reason", "asof_fallback_fact", "latest_before", "upsert_partial", "unique_or_null_key", "units_with_several_districts",
@@ -25,7 +26,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", FAMILIES)
