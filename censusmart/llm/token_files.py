@@ -29,7 +29,7 @@ from censusmart.llm.storage import read_files, saved, write_files
 
 END_ID = 0
 SEGMENT_IDS = 1 << 22
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
 MAGIC, VERSION = b"CMTK", 1
 _HEADER = struct.Struct("<4sHHIIIQI")
 _BLOCK = struct.Struct("<III")
