@@ -19,6 +19,7 @@ Extra columns are carried through untouched. An empty table gives an empty resul
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -149,20 +150,34 @@ def _alike(similarity: float, shingle: int):
 
 
 def candidate_pairs(texts: DataFrame, bits: int) -> DataFrame:
-    """(a, b) with a < b: texts that meet in a variant, from (node, n_words, fingerprints).
+    """(a, b) with a < b: texts that meet in a variant, from (node, fingerprints).
 
-    Each text of a bucket is paired with the bucket's first and with the one before it. Pairs whose numbers of
-    different words rule the similarity out already stay away.
+    Each text of a bucket is paired with the bucket's first and with the one before it.
     """
-    one = texts.select("node", "n_words", F.posexplode("fingerprints").alias("seed", "fp"))
-    spread = one.select("node", "n_words", F.call_function("shiftleft", F.col("seed").cast("long"), F.lit(bits)).alias("at"),
+    one = texts.select("node", F.posexplode("fingerprints").alias("seed", "fp"))
+    spread = one.select("node", F.call_function("shiftleft", F.col("seed").cast("long"), F.lit(bits)).alias("at"),
                         F.explode(variants(F.col("fp"), bits)).alias("variant"))
     bucket = Window.partitionBy("bucket").orderBy("node")
-    met = spread.select("node", "n_words", F.col("variant").bitwiseOR(F.col("at")).alias("bucket")).select(
-        "node", "n_words", F.first(F.struct("node", "n_words")).over(bucket).alias("first"), F.lag(F.struct("node", "n_words")).over(bucket).alias("before"))
-    pairs = met.where(F.col("before").isNotNull()).select(F.explode(F.array("first", "before")).alias("other"), "node", "n_words")
-    near = F.least("n_words", "other.n_words") * 2 >= F.greatest("n_words", "other.n_words")
-    return pairs.where(near).select(F.col("other.node").alias("a"), F.col("node").alias("b")).distinct()
+    met = spread.select("node", F.col("variant").bitwiseOR(F.col("at")).alias("bucket")).select(
+        "node", F.first("node").over(bucket).alias("first"), F.lag("node").over(bucket).alias("before"))
+    pairs = met.where(F.col("before").isNotNull()).select(F.explode(F.array("first", "before")).alias("a"), F.col("node").alias("b"))
+    return pairs.distinct()
+
+
+def plausible_pairs(pairs: DataFrame, texts: DataFrame, bits: int, similarity: float) -> DataFrame:
+    """The pairs whose fingerprints, all taken together, leave the similarity possible.
+
+    Of words at the least similarity a share arccos(s) / pi of the bits differs; texts alike in shingles share more of
+    their words than of their shingles. The limit is 1.8 times that share, over ten deviations away with the
+    288 bits of the defaults, so that it costs no link and spares the texts of chance meetings the shuffle.
+    """
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), F.col("fingerprints").alias(f"{name}_prints"))
+
+    differ = F.aggregate(F.zip_with("a_prints", "b_prints", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    most = 1.8 * math.acos(similarity) / math.pi * bits
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    return near.where(differ <= most * F.size("a_prints")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
@@ -175,8 +190,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     node = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), node)
     rows = saved(with_fingerprints(source, "text", [F.col("doc_id"), F.col("node")], 1, seeds, bits, as_set=True), "sketches")
-    texts = rows.groupBy("node").agg(F.first("n_features").alias("n_words"), F.first("fingerprints").alias("fingerprints"), F.min("doc_id").alias("doc_id"))
-    pairs = saved(candidate_pairs(texts, bits), "candidates")
+    texts = rows.groupBy("node").agg(F.first("fingerprints").alias("fingerprints"))
+    pairs = saved(plausible_pairs(candidate_pairs(texts, bits), texts, bits, similarity), "candidates")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first"))
     bodies = saved(source.join(first, "node").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("node", "text")
