@@ -167,15 +167,16 @@ def candidate_pairs(texts: DataFrame, bits: int) -> DataFrame:
 def plausible_pairs(pairs: DataFrame, texts: DataFrame, bits: int, similarity: float) -> DataFrame:
     """The pairs whose fingerprints, all taken together, leave the similarity possible.
 
-    Of words at the least similarity a share arccos(s) / pi of the bits differs; texts alike in shingles share more of
-    their words than of their shingles. The limit is 1.8 times that share, over ten deviations away with the
-    288 bits of the defaults, so that it costs no link and spares the texts of chance meetings the shuffle.
+    Sets of Jaccard similarity s have the cosine 2s / (1 + s) if equally large, and a share arccos / pi of their bits
+    differs; texts alike in shingles share still more of their words. The limit is 1.8 times that share, almost six
+    deviations away with the 288 bits of the defaults, so that it spares the texts of chance meetings the shuffle
+    and practically never costs a link.
     """
     def side(name: str) -> DataFrame:
         return texts.select(F.col("node").alias(name), F.col("fingerprints").alias(f"{name}_prints"))
 
     differ = F.aggregate(F.zip_with("a_prints", "b_prints", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
-    most = 1.8 * math.acos(similarity) / math.pi * bits
+    most = 1.8 * math.acos(2 * similarity / (1 + similarity)) / math.pi * bits
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     return near.where(differ <= most * F.size("a_prints")).select("a", "b")
 
