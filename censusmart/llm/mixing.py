@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from censusmart.llm.running import running_total
-from censusmart.llm.storage import saved
+from censusmart.llm.storage import saved, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -122,7 +122,8 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes:
 def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mixed documents themselves: the input's columns, each document once per pass that takes it."""
     plan = mixing_plan(docs, doc_id=doc_id, text=text, source=source, **options).where("passes > 0")
-    plan = plan.select(F.col("doc_id").alias("_plan_id"), F.col("row_hash").alias("_plan_hash"), F.col("passes").alias("_plan_passes"))
-    hashed = docs.withColumn("_plan_row", _row_hash(doc_id, source, text))
-    taken = hashed.join(plan, hashed["_plan_row"].eqNullSafe(plan["_plan_hash"]) & hashed[doc_id].eqNullSafe(plan["_plan_id"]))
-    return taken.withColumn("_plan_pass", F.explode(F.sequence(F.lit(1), F.col("_plan_passes")))).select(*[docs[f"`{c}`"] for c in docs.columns])
+    own, plan_id, plan_hash, passes, nth = (unused(name, docs.columns) for name in ("_row", "_plan_id", "_plan_hash", "_passes", "_pass"))
+    plan = plan.select(F.col("doc_id").alias(plan_id), F.col("row_hash").alias(plan_hash), F.col("passes").alias(passes))
+    hashed = docs.withColumn(own, _row_hash(doc_id, source, text))
+    taken = hashed.join(plan, (F.col(own) == F.col(plan_hash)) & F.col(doc_id).eqNullSafe(F.col(plan_id)))
+    return taken.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(passes)))).select(*[F.col(f"`{c}`") for c in docs.columns])

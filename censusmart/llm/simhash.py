@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from censusmart.llm.components import connected_components
-from censusmart.llm.storage import saved
+from censusmart.llm.storage import saved, unused
 
 SEED = 42
 RADIUS = 2
@@ -181,25 +181,38 @@ def plausible_pairs(pairs: DataFrame, texts: DataFrame, bits: int, similarity: f
     return near.where(differ <= most * F.size("a_prints")).select("a", "b")
 
 
+def _verified(pairs: DataFrame, source: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts are alike; only texts that a pair names are moved."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first"))
+    bodies = saved(source.join(first, "node").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("node", "text")
+                   .withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("nth = 1").drop("nth"), "texts")
+    both = (pairs.join(bodies.select(F.col("node").alias("b"), F.col("text").cast("binary").alias("right")), "b")
+            .join(bodies.select(F.col("node").alias("a"), F.col("text").cast("binary").alias("left")), "a").select("a", "b", "left", "right"))
+    return saved(both.mapInArrow(_alike(similarity, shingle), "a long, b long"), "verified")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
                     seeds: tuple[int, ...] = CANDIDATE_SEEDS, bits: int = CANDIDATE_BITS) -> DataFrame:
     """(doc_id, node, component, keep_id, keep_node): one row per different (id, text).
 
     node stands for the text (its 64-bit hash), component for its group; keep_id and keep_node name the
-    group's document with the smallest id.
+    group's document with the smallest id. Each text is verified against its smallest candidate first; of the
+    other pairs, those whose texts hang on one verified text already are in one group and need no comparison.
     """
     node = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), node)
     rows = saved(with_fingerprints(source, "text", [F.col("doc_id"), F.col("node")], 1, seeds, bits, as_set=True), "sketches")
     texts = rows.groupBy("node").agg(F.first("fingerprints").alias("fingerprints"))
-    pairs = saved(plausible_pairs(candidate_pairs(texts, bits), texts, bits, similarity), "candidates")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first"))
-    bodies = saved(source.join(first, "node").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("node", "text")
-                   .withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("nth = 1").drop("nth"), "texts")
-    both = (pairs.join(bodies.select(F.col("node").alias("b"), F.col("text").cast("binary").alias("right")), "b")
-            .join(bodies.select(F.col("node").alias("a"), F.col("text").cast("binary").alias("left")), "a").select("a", "b", "left", "right"))
-    components = connected_components(both.mapInArrow(_alike(similarity, shingle), "a long, b long"))
+    pairs = saved(candidate_pairs(texts, bits), "candidates")
+    smallest = saved(pairs.groupBy("b").agg(F.min("a").alias("a")), "smallest")
+    links = _verified(saved(plausible_pairs(smallest, texts, bits, similarity), "plausible"), source, rows, shingle, similarity)
+    hangs = saved(smallest.withColumnRenamed("a", "tried").join(links.select("b", F.col("a").alias("parent")), "b", "left"), "parents")
+    rest = (pairs.join(hangs, "b").where(F.col("a") != F.col("tried"))
+            .join(hangs.select(F.col("b").alias("a"), F.col("parent").alias("a_parent")), "a", "left")
+            .where(~F.col("parent").eqNullSafe(F.col("a")) & (F.coalesce("parent", "b") != F.coalesce("a_parent", "a"))).select("a", "b"))
+    links = links.unionByName(_verified(saved(plausible_pairs(rest, texts, bits, similarity), "plausible"), source, rows, shingle, similarity))
+    components = connected_components(links)
     placed = (rows.select("doc_id", "node").distinct().join(components, "node", "left")
               .select("doc_id", "node", F.coalesce("root", "node").alias("component")))
     first_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
@@ -210,9 +223,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The input's rows and columns with one row left of each group of alike documents: the smallest id's."""
     groups = near_duplicates(docs, doc_id, text, **options)
+    own, stay_id, stay_node, nth = (unused(name, docs.columns) for name in ("_node", "_stay_id", "_stay_node", "_nth"))
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node"))).select(
-        F.col("doc_id").alias("_stay_id"), F.col("node").alias("_stay_node"))
-    hashed = docs.withColumn("_node", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    found = hashed.join(stay, (F.col("_node") == F.col("_stay_node")) & hashed[doc_id].eqNullSafe(F.col("_stay_id")))
-    once = F.row_number().over(Window.partitionBy("_stay_node").orderBy("_stay_node"))
-    return found.withColumn("_nth", once).where("_nth = 1").select(*[docs[f"`{c}`"] for c in docs.columns])
+        F.col("doc_id").alias(stay_id), F.col("node").alias(stay_node))
+    hashed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    found = hashed.join(stay, (F.col(own) == F.col(stay_node)) & F.col(doc_id).eqNullSafe(F.col(stay_id)))
+    once = F.row_number().over(Window.partitionBy(stay_node).orderBy(stay_node))
+    return found.withColumn(nth, once).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
