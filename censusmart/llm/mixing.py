@@ -30,7 +30,7 @@ KEY_BITS = 60
 
 
 def word_count(text: Column) -> Column:
-    """Number of words: the blanks become one letter's ends, so it is the count of word beginnings."""
+    """Number of words; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 

@@ -111,7 +111,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
         model = fit([(y.as_py(), t.as_py()) for batch in batches for y, t in zip(*batch.columns)])
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.good, model.bad, model.curve))], pa.binary())], names=["model"])
 
-    return Model(*pickle.loads(sample.mapInArrow(run, "model binary").first()["model"]))
+    row = sample.mapInArrow(run, "model binary").first()
+    return Model(*pickle.loads(row["model"])) if row else fit([])
 
 
 def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:

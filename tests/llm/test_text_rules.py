@@ -1,0 +1,103 @@
+"""Quality rules, decontamination, classifiers and secret scans against plain versions."""
+
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from censusmart.llm import decontaminate, quality_classifier, quality_rules, secrets, toxicity
+
+SF = "/root/testdata/sf0.01"
+ODD = [None, "", "   ", "\n\n", "one", "a\x1cb c\xa0d", "# " * 50, "same words here again now and then so " * 9]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    return given.unionByName(spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(ODD)] + [(None, "x"), (5, "again"), (5, "again")], "doc_id long, text string")).cache()
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [tuple(r) for r in docs.collect()]
+
+
+def test_quality_rules(docs, rows):
+    got = quality_rules.judge_documents(docs).drop("kept_text").collect()
+    expected = []
+    for i, t in rows:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        grams = [tuple(w[k:k + 8]) for k in range(len(w) - 7)]
+        many = {g for g, n in Counter(grams).items() if n > 1}
+        covered = {k + j for k, g in enumerate(grams) if g in many for j in range(8)}
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        failed = len(w) < 20 or 100 * len(covered) > 30 * len(w)
+        expected.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered), failed))
+    assert sorted(map(str, (tuple(r)[:7] for r in got))) == sorted(map(str, expected))
+    assert not any(r.kept and r.base_failed for r in got)
+
+
+def test_cleaning_takes_lines_and_documents(spark):
+    good = " ".join(f"This is sound sentence {i} of words that nobody would take away here." for i in "abc")
+    frame = spark.createDataFrame([(1, good + "\nAll rights reserved.\nHome | About | Login", 1), (2, ("buy!! " * 5 + "\n") * 9 + good, 2), (3, None, 3)],
+                                  "doc_id long, text string, verdict int")
+    got = quality_rules.clean_documents(frame)
+    assert got.columns == frame.columns and [(r.doc_id, r.text) for r in got.collect()] == [(1, good)]
+
+
+def test_decontamination(spark, docs, rows):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = {r.item_id: decontaminate.words_of(r.text) for r in benchmark.collect()}
+    got = {(r.doc_id, m.item_id) for r in decontaminate.with_matches(docs, benchmark).collect() for m in r.matches}
+    whole = {(i, k) for i, t in rows for k, w in items.items() if " ".join(w) in " ".join(decontaminate.words_of(t))}
+    assert whole and whole == got
+
+
+def test_substitutions_are_tolerated():
+    item = [f"w{i}" for i in range(30)]
+    block = decontaminate.Block([(1, item), (2, ["a", "b", "c", "d", "e", "f", "g", "h"])])
+    for gap in range(6, 12):
+        changed = ["other" if i % gap == 3 else w for i, w in enumerate(item)]
+        assert [m[0] for m in block.search("x " * 9 + " ".join(changed) + " y")] == [1], gap
+    assert block.search(" ".join(item[:9])) == [] and block.search(" ".join(item[::-1])) == []
+    assert [m[0] for m in block.search("A, b c D e f g h.")] == [2]
+
+
+def held_out_accuracy(got, labels):
+    pairs = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
+    return sum(a == b for a, b in pairs) / len(pairs)
+
+
+@pytest.mark.parametrize("module, label, least", [(toxicity, "toxic", 0.9), (quality_classifier, "quality", 0.95)])
+def test_classifiers(spark, docs, module, label, least):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = module.score_documents(docs, module.train(docs, labels, label)).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.held_out == (zlib.crc32(str("null" if r.doc_id is None else r.doc_id).encode()) % 5 == 0) for r in got)
+    assert held_out_accuracy(got, {r.doc_id: r[label] for r in labels.collect()}) >= least
+    none = module.score_documents(docs.limit(3), module.train(docs, labels.limit(0), label)).collect()
+    assert [r.score for r in none] == [0.5] * 3
+
+
+def plain_spans(text):
+    found = [(m.start(), m.end(), "assign") for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 8]
+    found += [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found, key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+
+
+def test_secrets(docs, rows):
+    texts = [t or "" for _, t in rows] + ["AKIAAKIA1 AKIA" + "A" * 30, "ſecret=abcdefgh1", "API_KEY = 'abcd1234efgh'", "token:" + "f" * 40, "toKen=12345678", "secret=short token=longenough1"]
+    for t in texts:
+        assert secrets.base_spans(t) == plain_spans(t)
+    got = {r.doc_id: r for r in secrets.scan_documents(docs).collect()}
+    assert len(got) == len({i for i, _ in rows}) and sum(r.n_assign + r.n_hex for r in got.values()) > 0
+
+
+def test_novelty_tells_random_strings_from_words():
+    novelty = secrets.Novelty()
+    line = "the client credential is {} for the connection"
+    random_, plain = "q7Zp0LxV9mK3tRw8YbN2", "configurationSettings"
+    assert "novel" in secrets.scan(line.format(random_), novelty)[5] and secrets.scan(line.format(plain), novelty)[5] == ""
+    assert secrets.scan(f"see {random_} there", novelty)[5] == ""
