@@ -40,7 +40,7 @@ def test_quality_rules(docs, rows):
 
 
 def test_cleaning_takes_lines_and_documents(spark):
-    good = " ".join(f"This is sound sentence {i} of words that nobody would take away here." for i in "abc")
+    good = " ".join(f"This is sound sentence {i} of words {i} that nobody would {i} take away here." for i in "abc")
     frame = spark.createDataFrame([(1, good + "\nAll rights reserved.\nHome | About | Login", 1), (2, ("buy!! " * 5 + "\n") * 9 + good, 2), (3, None, 3)],
                                   "doc_id long, text string, verdict int")
     got = quality_rules.clean_documents(frame)
