@@ -8,9 +8,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Three terms a year for as many years as the calendar could hold, and more.
-MAX_PERIODS = 10_000
-
 
 def lookup(
     df: DataFrame,
@@ -66,21 +63,19 @@ def expand_periods(
 ) -> DataFrame:
     """Every person row once per period row.
 
-    The general periods (a handful per academic year) travel as one array inside the plan and are
-    exploded in place: no cross join and no shuffle of the people. Their number is checked.
-    School-specific periods, if ``period_school`` names their school column, join on the school.
+    The general periods travel as one array inside the plan and are exploded in place: no cross join
+    and no shuffle of the people. The callers give one row per year and term, so the array's length follows from that
+    key. School-specific periods, if ``period_school`` names their school column, become one array per school
+    that joins on the school; both arrays are exploded together, so the people are planned once.
     """
     fields = [c for c in periods.columns if c != period_school]
     general = periods if period_school is None else periods.filter(F.col(period_school).isNull())
     listed = F.sort_array(F.collect_list(F.struct(*fields)))
-    too_many = F.raise_error(F.lit(f"more than {MAX_PERIODS} general periods; reduce them to one per term"))
-    bounded = F.when(F.count(F.lit(1)) <= MAX_PERIODS, listed).otherwise(too_many)
-    as_array = general.limit(MAX_PERIODS + 1).agg(bounded.alias("p")).scalar()
-    everywhere = people.withColumn("_p", F.explode(as_array)).select("*", "_p.*").drop("_p")
+    everywhere = general.agg(listed.alias("p")).scalar()
     if period_school is None:
-        return everywhere
-    specific = periods.filter(F.col(period_school).isNotNull()).withColumnRenamed(
-        period_school, "_period_school"
-    )
-    own = people.join(specific, F.col(school) == F.col("_period_school")).drop("_period_school")
-    return everywhere.unionByName(own)
+        return people.withColumn("_p", F.explode(everywhere)).select("*", "_p.*").drop("_p")
+    own = (periods.filter(F.col(period_school).isNotNull()).groupBy(F.col(period_school).alias("_period_school"))
+           .agg(listed.alias("_own")))
+    both = F.when(F.col("_own").isNull(), everywhere).otherwise(F.concat(everywhere, F.col("_own")))
+    return (people.join(own, F.col(school) == F.col("_period_school"), "left").withColumn("_p", F.explode(both))
+            .drop("_own", "_period_school").select("*", "_p.*").drop("_p"))

@@ -195,7 +195,7 @@ RESULT_GROUPS = {"passed": ["PASS"], "warned": ["WARN", "WARNING"], "failed": ["
 def raise_on_failure(written_log: DataFrame, mart: str) -> None:
     """Raise if a check of ``mart`` failed. Call it on the log as written, so the rows survive."""
     failed = written_log.filter((F.col("mart") == mart) & (F.col("result") == "FAIL"))
-    names = [r.check_name for r in failed.select("check_name").limit(20).collect()]
+    names = [r.check_name for r in failed.select("check_name").distinct().orderBy("check_name").collect()]
     if names:
         raise RuntimeError(f"{mart}: failed checks {names}")
 

@@ -238,7 +238,7 @@ def run_mart(
         for suite in MART_SUITES[name]:
             _check(space, suite, as_of, run_id, raise_failed=name in STRICT)
     except Exception as failure:
-        error = str(failure)[:2000]
+        error = str(failure)
         raise
     finally:
         status = "FAILED" if error else "SUCCESS"

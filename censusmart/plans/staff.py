@@ -112,8 +112,8 @@ def staff_fact(t: Tables) -> DataFrame:
         "person_id", F.col("school_id").alias("school_source_id"), "academic_year", "term",
         "term_start_date", "is_primary_school", "is_on_government_payroll",
     )
-    one = first_per_key(flat, NATURAL_KEY, [F.col("term_start_date").asc_nulls_last()])
-    dated = on_calendar(one, t["dw.date_dim"], "term_start_date")
+    dated = on_calendar(flat, t["dw.date_dim"], "term_start_date")
+    dated = first_per_key(dated, NATURAL_KEY, [F.col("term_start_date").asc_nulls_last()])
     dated = lookup(dated, earliest_version(t["dw.non_teaching_staff_dim"]), "person_id",
                    {"id": "staff_id"}, key="source_id", how="inner")
     dated = lookup(dated, earliest_version(t["dw.schools_dim"]), "school_source_id",

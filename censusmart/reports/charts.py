@@ -44,9 +44,9 @@ CHARTS: dict[str, Chart] = {
     "infra_by_type": _sum("structure_type", "total_structures", limit=25),
     "infra_top15_districts": _sum("district_name", "total_structures", limit=15),
     "infra_labs_by_district": _sum("District", "Total Labs", limit=20),
-    "nts_by_category": _sum("category", "total_staff", limit=10),
-    "nts_by_gender": _sum("gender", "total_staff", limit=10),
-    "nts_by_employment_status": _sum("employment_status", "total_staff", limit=10),
+    "nts_by_category": _sum("category", "total_staff", limit=50),
+    "nts_by_gender": _sum("gender", "total_staff", limit=50),
+    "nts_by_employment_status": _sum("employment_status", "total_staff", limit=50),
     "nts_by_role": _sum("role", "total_staff", limit=50),
     "nts_by_education_level": _sum("education_level", "total_staff", limit=50),
     "nts_top15_districts": _sum("district_name", "total_staff", limit=15),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Results depend on the time zone; the rest are Spark's own answers to size and skew.
@@ -16,22 +14,16 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-PARTITIONS_PER_CORE = 8
-
+def configure(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
+    """Apply the runtime settings to an existing session, the same everywhere.
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session.
-
-    On a cluster, shuffles start with several partitions per core: AQE merges small partitions but
-    never splits an evenly large one, so the default of 200 would be far too few for big inputs.
+    ``initial_partitions`` is the number that shuffles start with. AQE merges small partitions but never
+    splits an evenly large one, so big inputs want several per core instead of the default.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        stated = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = max(stated, PARTITIONS_PER_CORE * context.defaultParallelism)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    if initial_partitions is not None:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     return spark
 
 
@@ -52,16 +44,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a local session without
-    that setting gets a folder of its own. The rows survive the loss of executors.
+    The folder is the one named in ``spark.checkpoint.dir``, or one in the warehouse, which is shared as
+    well, where that setting is absent. The rows survive the loss of executors.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="censusmart-")
-        context.setCheckpointDir(shared)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
     return df.checkpoint()

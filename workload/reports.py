@@ -168,14 +168,22 @@ for dataset_name, dataset in DATASETS.items():
     register(dataset_name, lambda w, _build=dataset: plain(_build(w)), SQL[dataset_name])
 
 
+# Row limits of the staff charts, stated here so that a wrong limit in the library shows.
+LIMITS = {
+    "nts_by_category": 50, "nts_by_gender": 50, "nts_by_employment_status": 50, "nts_by_role": 50,
+    "nts_by_education_level": 50, "nts_top15_districts": 15, "nts_bottom15_districts": 15, "nts_trend_over_time": 50,
+}
+
+
 def chart_sql(name: str) -> str:
     spec = CHARTS[name]
+    limit = LIMITS.get(name, spec.limit)
     keys = ", ".join(f'"{k}"' for k in [*spec.dims, *spec.series])
     values = ", ".join(
         f'CAST(sum("{c}") AS BIGINT) AS "{c}"' if how == "SUM" else f'max("{c}") AS "{c}"' if how == "MAX"
         else f'sum("{c}") / count("{c}") AS "{c}"' for how, c in spec.metrics)
     tail = f' GROUP BY {keys}' if keys else ""
-    order = f' ORDER BY "{spec.metrics[0][1]}" DESC, {keys} LIMIT {spec.limit}' if spec.limit else ""
+    order = f' ORDER BY "{spec.metrics[0][1]}" DESC, {keys} LIMIT {limit}' if limit else ""
     return f"SELECT {keys + ', ' if keys else ''}{values} FROM ({SQL[name]}) AS d{tail}{order}"
 
 
