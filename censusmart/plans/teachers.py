@@ -67,7 +67,8 @@ def extract_teachers(t: Tables) -> DataFrame:
         .join(jobs, F.col("person_id") == F.col("_worker"), "left")
         .join(ids, F.col("person_id") == F.col("_holder"), "left")
     )
-    joined = first_per_key(joined, ["person_id"], [F.col("job_updated").desc_nulls_last(), F.col("id")])
+    newest = [F.col(c).desc_nulls_last() for c in ("job_updated", "date_updated", "tmis_number", "ipps_number")]
+    joined = first_per_key(joined, ["person_id"], newest)
     touched = F.greatest("date_updated", "job_updated")
     return joined.select(
         "person_id", "employee_id", "surname",
