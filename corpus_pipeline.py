@@ -44,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_duplicates), ("decontamination", decontamination),
           ("mixing", mix), ("token_files", tokens)]
 
-# The stages are not expressible in SQL; tests/llm compares them with brute-force versions.
+# The stages are not expressible in SQL; tests/llm compares their operators with brute-force versions.
 ORACLE_SQL = None
 
 
