@@ -164,21 +164,25 @@ def candidate_pairs(texts: DataFrame, bits: int) -> DataFrame:
     return pairs.distinct()
 
 
-def plausible_pairs(pairs: DataFrame, texts: DataFrame, bits: int, similarity: float) -> DataFrame:
-    """The pairs whose fingerprints, all taken together, leave the similarity possible.
+def _sides(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the columns of both texts, prefixed a_ and b_."""
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in texts.columns if c != "node"])
+
+    return pairs.join(side("b"), "b").join(side("a"), "a")
+
+
+def _plausible(bits: int, similarity: float) -> Column:
+    """Whether the fingerprints of a pair's ``_sides``, all taken together, leave the similarity possible.
 
     Sets of Jaccard similarity s have the cosine 2s / (1 + s) if equally large, and a share arccos / pi of their bits
     differs; texts alike in shingles share still more of their words. The limit is 1.8 times that share, almost six
     deviations away with the 288 bits of the defaults, so that it spares the texts of chance meetings the shuffle
     and practically never costs a link.
     """
-    def side(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), F.col("fingerprints").alias(f"{name}_prints"))
-
-    differ = F.aggregate(F.zip_with("a_prints", "b_prints", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
-    most = 1.8 * math.acos(2 * similarity / (1 + similarity)) / math.pi * bits
-    near = pairs.join(side("a"), "a").join(side("b"), "b")
-    return near.where(differ <= most * F.size("a_prints")).select("a", "b")
+    one, two = F.col("a_fingerprints"), F.col("b_fingerprints")
+    differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    return differ <= 1.8 * math.acos(2 * similarity / (1 + similarity)) / math.pi * bits * F.size(one)
 
 
 def _verified(pairs: DataFrame, source: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -206,12 +210,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = rows.groupBy("node").agg(F.first("fingerprints").alias("fingerprints"))
     pairs = saved(candidate_pairs(texts, bits), "candidates")
     smallest = saved(pairs.groupBy("b").agg(F.min("a").alias("a")), "smallest")
-    links = _verified(saved(plausible_pairs(smallest, texts, bits, similarity), "plausible"), source, rows, shingle, similarity)
-    hangs = saved(smallest.withColumnRenamed("a", "tried").join(links.select("b", F.col("a").alias("parent")), "b", "left"), "parents")
-    rest = (pairs.join(hangs, "b").where(F.col("a") != F.col("tried"))
-            .join(hangs.select(F.col("b").alias("a"), F.col("parent").alias("a_parent")), "a", "left")
-            .where(~F.col("parent").eqNullSafe(F.col("a")) & (F.coalesce("parent", "b") != F.coalesce("a_parent", "a"))).select("a", "b"))
-    links = links.unionByName(_verified(saved(plausible_pairs(rest, texts, bits, similarity), "plausible"), source, rows, shingle, similarity))
+    tried = saved(_sides(smallest, texts).where(_plausible(bits, similarity)).select("a", "b"), "plausible")
+    links = _verified(tried, source, rows, shingle, similarity)
+    hangs = saved(texts.join(smallest.select(F.col("b").alias("node"), F.col("a").alias("tried")), "node", "left")
+                  .join(links.select(F.col("b").alias("node"), F.col("a").alias("parent")), "node", "left"), "parents")
+    apart = (F.col("a") != F.col("b_tried")) & (F.coalesce("b_parent", "b") != F.coalesce("a_parent", "a"))
+    rest = saved(_sides(pairs, hangs).where(apart & _plausible(bits, similarity)).select("a", "b"), "plausible")
+    links = links.unionByName(_verified(rest, source, rows, shingle, similarity))
     components = connected_components(links)
     placed = (rows.select("doc_id", "node").distinct().join(components, "node", "left")
               .select("doc_id", "node", F.coalesce("root", "node").alias("component")))
