@@ -8,9 +8,10 @@ flipped positions, a fixed-size aggregate: at most ``bits + 1`` fingerprints can
 documents have them, and all of them are within two bits of each other.
 
 ``near_duplicates`` uses the meetings as candidates only and verifies them on the texts: a link is a Jaccard similarity of
-word shingles of ``similarity`` or more. Single words change less under an edit than shingles, so several
-fingerprints of the set of words find the candidates. In a variant's bucket each text meets the smallest text and
-its neighbour in order, so candidates grow with the rows, never with the square of a bucket.
+word shingles of ``similarity`` or more. Several fingerprints of the set of words find most links cheaply: in a variant's
+bucket each text meets the smallest text and its neighbour in order. That search loses links, so an exact one follows
+(``_exact_links``): texts that similar share a shingle among the rarest of each (prefix filter), and all pairs that do and are not
+in one group yet are verified, or excluded by bounds that no link can break. No link between different texts is lost.
 
 Defined cases: a null text is an empty one. A text without words has fingerprint zero; fewer words than
 a shingle's make one shingle. Texts without words count as alike. A null id is never the smallest one.
@@ -37,6 +38,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 CANDIDATE_SEEDS = (1, 2, 3, 4, 5, 6)
 CANDIDATE_BITS = 48
+SAMPLE_TEXTS = 20_000
+COMMON_SHINGLES = 200_000
 _BLOCK = 1 << 15
 
 
@@ -176,9 +179,8 @@ def _plausible(bits: int, similarity: float) -> Column:
     """Whether the fingerprints of a pair's ``_sides``, all taken together, leave the similarity possible.
 
     Sets of Jaccard similarity s have the cosine 2s / (1 + s) if equally large, and a share arccos / pi of their bits
-    differs; texts alike in shingles share still more of their words. The limit is 1.8 times that share, almost six
-    deviations away with the 288 bits of the defaults, so that it spares the texts of chance meetings the shuffle
-    and practically never costs a link.
+    differs. The limit is 1.8 times that share. It spares the texts of chance meetings the shuffle; texts of few
+    different words can be alike in shingles beyond it, and are left to the exact search.
     """
     one, two = F.col("a_fingerprints"), F.col("b_fingerprints")
     differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
@@ -196,13 +198,121 @@ def _verified(pairs: DataFrame, source: DataFrame, rows: DataFrame, shingle: int
     return saved(both.mapInArrow(_alike(similarity, shingle), "a long, b long"), "verified")
 
 
+_FACTORS = np.random.default_rng(11).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def hashed_shingles(words: list[bytes], size: int) -> np.ndarray:
+    """Sorted different 64-bit hashes of the words' shingles; the single hash 0 without words."""
+    if not words:
+        return np.zeros(1, np.int64)
+    numbers = {w: xxhash.xxh64_intdigest(w, SEED) for w in set(words)}
+    values = np.fromiter(map(numbers.__getitem__, words), np.uint64, len(words))
+    span = min(size, len(words))
+    n = len(values) - span + 1
+    total = np.full(n, span, np.uint64)
+    for i in range(span):
+        total = (total + values[i:i + n]) * _FACTORS[i % 64]
+    return np.unique(total.view(np.int64))
+
+
+def _least_shared(similarity: float, one: Column, two: Column) -> Column:
+    """Shingles that texts of so many shingles must share (one less where rounding leaves it open)."""
+    return F.ceil((one + two) * (similarity / (1 + similarity)) - 1e-6)
+
+
+def prefixes(source: DataFrame, shingle: int, similarity: float, common: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(node, n, prefix): of each text the number of shingles and the hashes of its rarest, rarest first.
+
+    Texts of the similarity share ``similarity`` times the larger one's shingles or more; so, in any order common to all texts,
+    they share one of the first n - ceil(similarity * n) + 1 of each. The order is by ``counts`` of the ``common``
+    shingles (others 0), then by hash: what it is matters to the number of candidates only.
+    """
+    shared = source.sparkSession.sparkContext.broadcast((common, counts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, often = shared.value
+        for batch in batches:
+            sizes, firsts = [], []
+            for text in batch.column(1):
+                own = hashed_shingles(words_of(text.as_py()), shingle)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    own = own[np.argsort(np.where(known[at] == own, often[at], 0), kind="stable")]
+                sizes.append(len(own))
+                firsts.append(own[:len(own) - math.ceil(similarity * len(own) - 1e-6) + 1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))],
+                                             names=["node", "n", "prefix"])
+
+    found = source.select("node", F.col("text").cast("binary")).mapInArrow(run, "node long, n int, prefix array<long>")
+    return found.groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+
+
+def common_shingles(source: DataFrame, texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the most frequent shingles in about ``SAMPLE_TEXTS`` texts; bounded, and only an order."""
+    every = max(1, texts.count() // SAMPLE_TEXTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [hashed_shingles(words_of(t.as_py()), shingle) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*own, np.zeros(0, np.int64)]), pa.int64())], names=["h"])
+
+    sample = source.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select(F.col("text").cast("binary"))
+    often = (sample.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("c")).where("c > 2")
+             .orderBy(F.desc("c"), "h").limit(COMMON_SHINGLES).toPandas().sort_values("h"))
+    return often["h"].to_numpy(np.int64), often["c"].to_numpy(np.int64)
+
+
+def _with_groups(table: DataFrame, links: DataFrame) -> DataFrame:
+    """``table`` with the component that the links give each node."""
+    roots = saved(connected_components(links), "groups")
+    return table.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+
+
+def _exact_links(source: DataFrame, rows: DataFrame, texts: DataFrame, links: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links that make groups complete: every pair of different texts is linked, verified, excluded or in one group.
+
+    First each text meets, per shared prefix shingle, the smallest text and the one before it, so that a group of many copies
+    becomes one component by pairs that grow with the rows. Then all pairs across components that share a prefix
+    shingle are counted by the shingles they share, and verified where that count leaves the similarity possible.
+    """
+    known = saved(prefixes(source, shingle, similarity, *common_shingles(source, texts, shingle)), "prefixes")
+    tokens = known.select("node", "n", F.size("prefix").alias("kept"), F.posexplode("prefix").alias("pos", "h"))
+    by_hash = Window.partitionBy("h")
+    met = saved(tokens.withColumn("first", F.min("node").over(by_hash)).withColumn("last", F.max("node").over(by_hash))
+                .where(F.col("first") != F.col("last")).drop("last"), "meeting")
+
+    in_order = by_hash.orderBy("node")
+    near = (met.withColumn("before", F.lag("node").over(in_order)).where("before is not null")
+            .select(F.explode(F.array("first", "before")).alias("a"), F.col("node").alias("b")).distinct())
+    sides = _sides(near, _with_groups(known, links)).where(F.col("a_component") != F.col("b_component"))
+    beyond = F.greatest(F.col("a_n") - F.size("a_prefix"), F.col("b_n") - F.size("b_prefix"))
+    possible = F.size(F.array_intersect("a_prefix", "b_prefix")) + beyond >= _least_shared(similarity, F.col("a_n"), F.col("b_n"))
+    links = links.unionByName(_verified(saved(sides.where(possible).select("a", "b"), "plausible"), source, rows, shingle, similarity))
+
+    grouped = _with_groups(met.drop("first"), links)
+    mixed = saved(grouped.withColumn("low", F.min("component").over(by_hash)).withColumn("high", F.max("component").over(by_hash))
+                  .where("low != high").drop("low", "high"), "mixed")
+
+    def side(name: str) -> DataFrame:
+        return mixed.select("h", *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "kept", "pos", "component")])
+
+    a_n, b_n, need = F.col("a_n"), F.col("b_n"), _least_shared(similarity, F.col("a_n"), F.col("b_n"))
+    positional = F.least("a_pos", "b_pos") + 1 + F.least(a_n - F.col("a_pos") - 1, b_n - F.col("b_pos") - 1) >= need
+    meetings = side("a").join(side("b"), "h").where((F.col("a_component") < F.col("b_component")) & positional)
+    shared = meetings.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(
+        F.count("*").alias("shared"), *[F.first(c).alias(c) for c in ("a_n", "b_n", "a_kept", "b_kept")])
+    rest = shared.where(F.col("shared") + F.greatest(a_n - F.col("a_kept"), b_n - F.col("b_kept")) >= need).select("a", "b")
+    return links.unionByName(_verified(saved(rest, "remaining"), source, rows, shingle, similarity))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
                     seeds: tuple[int, ...] = CANDIDATE_SEEDS, bits: int = CANDIDATE_BITS) -> DataFrame:
     """(doc_id, node, component, keep_id, keep_node): one row per different (id, text).
 
     node stands for the text (its 64-bit hash), component for its group; keep_id and keep_node name the
     group's document with the smallest id. Each text is verified against its smallest candidate first; of the
-    other pairs, those whose texts hang on one verified text already are in one group and need no comparison.
+    other pairs, those whose texts hang on one verified text already are in one group and need no comparison. The exact
+    search then adds every link that is missing.
     """
     node = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), node)
@@ -217,7 +327,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     apart = (F.col("a") != F.col("b_tried")) & (F.coalesce("b_parent", "b") != F.coalesce("a_parent", "a"))
     rest = saved(_sides(pairs, hangs).where(apart & _plausible(bits, similarity)).select("a", "b"), "plausible")
     links = links.unionByName(_verified(rest, source, rows, shingle, similarity))
-    components = connected_components(links)
+    components = connected_components(_exact_links(source, rows, texts, links, shingle, similarity))
     placed = (rows.select("doc_id", "node").distinct().join(components, "node", "left")
               .select("doc_id", "node", F.coalesce("root", "node").alias("component")))
     first_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")

@@ -81,3 +81,23 @@ def test_near_duplicates_equal_brute_force(spark, corpus):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.fingerprint_components(empty).count() == 0 and simhash.without_near_duplicates(empty).count() == 0
+
+
+def brute_kept(corpus):
+    sets = [set(simhash.shingles_of(simhash.words_of(t.encode()), 5)) for _, t in corpus]
+    alike = [(x, y) for x in range(len(corpus)) for y in range(x) if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])]
+    root = brute_components(alike, range(len(corpus)))
+    return len(alike), sorted({min(corpus[x][0] for x in root if root[x] == r) for r in set(root.values())})
+
+
+def test_no_link_in_a_bucket_of_alike_and_unlike_texts_is_lost(spark):
+    rng, corpus = random.Random(6), []
+    vocabulary = [f"t{k}" for k in range(120)]
+    for _ in range(40):
+        base = rng.sample(vocabulary, 120)
+        corpus.append((len(corpus), " ".join(base)))
+        base[50], base[51] = base[51], base[50]
+        corpus.append((len(corpus), " ".join(base)))
+    n_alike, expected = brute_kept(corpus)
+    assert n_alike == 40 and len(expected) == 40
+    assert sorted(r.doc_id for r in simhash.without_near_duplicates(spark.createDataFrame(corpus, "doc_id long, text string")).collect()) == expected
