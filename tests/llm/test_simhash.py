@@ -101,3 +101,17 @@ def test_no_link_in_a_bucket_of_alike_and_unlike_texts_is_lost(spark):
     n_alike, expected = brute_kept(corpus)
     assert n_alike == 40 and len(expected) == 40
     assert sorted(r.doc_id for r in simhash.without_near_duplicates(spark.createDataFrame(corpus, "doc_id long, text string")).collect()) == expected
+
+
+def test_no_link_of_low_vocabulary_texts_is_lost(spark):
+    rng, corpus = random.Random(5), []
+    for length, vocabulary in ((100, 10), (200, 20), (400, 40), (120, 1000)):
+        for i in range(25):
+            base = [f"v{i}x{rng.randrange(vocabulary)}" for _ in range(length)]
+            corpus.append((len(corpus), " ".join(base)))
+            for k in rng.sample(range(length), max(1, length // 60)):
+                base[k] = f"new{len(corpus)}x{k}"
+            corpus.append((len(corpus), " ".join(base)))
+    n_alike, expected = brute_kept(corpus)
+    assert n_alike > 50
+    assert sorted(r.doc_id for r in simhash.without_near_duplicates(spark.createDataFrame(corpus, "doc_id long, text string")).collect()) == expected
