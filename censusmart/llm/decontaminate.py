@@ -1,9 +1,11 @@
 """Benchmark decontamination with spaced seeds.
 
 A seed is a fixed mask over a window of words; the words at its zeros are ignored, so a substitution there
-leaves the hash unchanged, and several masks leave a hit near almost any substitution. The hashes of the benchmark
-items meet the hashes of the documents' windows. Around each hit the alignment without gaps is verified word by
-word: its best stretch, where a match counts 1 and a substitution -4, must have ``MIN_MATCHED`` equal words.
+leaves the hash unchanged. The hashes of the benchmark items meet the hashes of the documents' windows. Around each hit the
+alignment without gaps is verified word by word: its best stretch, where a match counts 1 and a substitution -4, must have
+``MIN_MATCHED`` equal words. Every such stretch contains a hit: as no end of it scores 0 or less, its equal words after the last
+substitution and those between the last two are 9 together at least, 5 of them after it. So it ends either with 7 equal words in a row
+(first mask) or with 3 or more, a substitution, and 5 or more (second mask).
 
 The benchmark is searched in blocks of at most ``BLOCK_WORDS`` words, read one after the other, and each block travels to
 the tasks that scan the documents; so what is sent has a bound whatever the benchmark's size, and documents are
@@ -11,7 +13,7 @@ neither shuffled nor joined.
 
 Defined cases: words are runs of letters and digits in lower case; a null or empty text has none and is never
 contaminated; items with fewer than ``MIN_ITEM`` words (null texts too) are not searched, as such runs occur by
-chance; of items up to a mask's length all words in a row are the seed; repeated rows get equal results; an empty
+chance; repeated rows get equal results; an empty
 benchmark finds nothing. All other columns stay as they are.
 """
 
@@ -29,7 +31,7 @@ from pyspark.sql import types as T
 
 from censusmart.llm.storage import unused
 
-MASKS = ("1101011001011", "111001010111", "1011100011101", "1100111010011")
+MASKS = ("1111111", "111011111")
 MIN_MATCHED = 10
 MIN_ITEM = 8
 PENALTY = 4
@@ -65,14 +67,11 @@ class Block:
         vocabulary = sorted({w for _, words in items for w in words})
         self.number = {w: n for n, w in enumerate(vocabulary, 1)}
         self.items = [np.array([self.number[w] for w in words], np.int64) for _, words in items]
-        longest = max(map(len, MASKS))
-        short = sorted({len(x) for x in self.items if len(x) < longest})
-        masks = [*MASKS, *("1" * n for n in short)]
         self.factors = np.random.default_rng(7).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.seeds = []
-        for mask in masks:
+        for mask in MASKS:
             kept = np.array([i for i, c in enumerate(mask) if c == "1"])
-            found = [(h, n, at) for n, x in enumerate(self.items) if len(x) >= len(mask) and (len(x) == len(mask) or "0" in mask)
+            found = [(h, n, at) for n, x in enumerate(self.items) if len(x) >= len(mask)
                      for at, h in enumerate(self._hash(x, kept, len(mask)).tolist())]
             if found:
                 found.sort()

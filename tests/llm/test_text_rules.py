@@ -1,9 +1,11 @@
 """Quality rules, decontamination, classifiers and secret scans against plain versions."""
 
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from censusmart.llm import decontaminate, quality_classifier, quality_rules, secrets, toxicity
@@ -65,6 +67,20 @@ def test_substitutions_are_tolerated():
     assert [m[0] for m in block.search("A, b c D e f g h.")] == [2]
 
 
+def test_every_overlap_that_verification_accepts_is_seeded():
+    rng = random.Random(2)
+    for n in (8, 10, 11, 12, 15, 16, 18, 30, 60):
+        item = [f"w{i}" for i in range(n)]
+        block = decontaminate.Block([(1, item)])
+        for _ in range(150):
+            changed = ["other" if rng.random() < rng.choice((0.05, 0.15, 0.25)) else w for w in item]
+            begin = rng.randrange(max(1, n - 12))
+            part = changed[begin:begin + rng.choice((10, 11, 12, 15, n))]
+            equal = np.array([a == b for a, b in zip(part, item[begin:])])
+            if decontaminate.best_stretch(equal)[2] >= decontaminate.needed(n):
+                assert [m[0] for m in block.search(" ".join(["x"] * 9 + part + ["y"] * 9))] == [1], (n, part)
+
+
 def held_out_accuracy(got, labels):
     pairs = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
     return sum(a == b for a, b in pairs) / len(pairs)
