@@ -7,21 +7,24 @@ alignment without gaps is verified word by word: its best stretch, where a match
 substitution and those between the last two are 9 together at least, 5 of them after it. So it ends either with 7 equal words in a row
 (first mask) or with 3 or more, a substitution, and 5 or more (second mask).
 
+Short items have masks of their own, as long as the item. Up to ``SHORT_ITEM`` words a whole copy counts that has the ``needed``
+equal words wherever its substitutions are: the words are cut into ``n - needed + 2`` pieces, and each mask keeps two, of which
+any accepted substitutions leave some pair whole. Items under ``MIN_ITEM`` words count as exact whole copies only.
+
 The benchmark is searched in blocks of at most ``BLOCK_WORDS`` words, read one after the other, and each block travels to
 the tasks that scan the documents; so what is sent has a bound whatever the benchmark's size, and documents are
 neither shuffled nor joined.
 
 Defined cases: words are runs of letters and digits in lower case; a null or empty text has none and is never
-contaminated; items with fewer than ``MIN_ITEM`` words (null texts too) are not searched, as such runs occur by
-chance; repeated rows get equal results; an empty
-benchmark finds nothing. All other columns stay as they are.
+contaminated; items without words (null texts too) are not searched; an item of one word finds every document with that
+word; repeated rows get equal results; an empty benchmark finds nothing. All other columns stay as they are.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,7 @@ from censusmart.llm.storage import unused
 MASKS = ("1111111", "111011111")
 MIN_MATCHED = 10
 MIN_ITEM = 8
+SHORT_ITEM = 12
 PENALTY = 4
 BLOCK_WORDS = 200_000
 _WORD = re.compile(r"[^\W_]+")
@@ -47,7 +51,16 @@ def words_of(text: str | None) -> list[str]:
 
 def needed(item_words: int) -> int:
     """Equal words that an overlap with an item of this length must have."""
-    return min(MIN_MATCHED, -(-item_words * 4 // 5))
+    return item_words if item_words < MIN_ITEM else min(MIN_MATCHED, -(-item_words * 4 // 5))
+
+
+def short_masks(item_words: int) -> list[str]:
+    """Masks over a whole short item, of which one fits each accepted copy."""
+    if item_words < MIN_ITEM:
+        return ["1" * item_words]
+    pieces = np.array_split(np.arange(item_words), item_words - needed(item_words) + 2)
+    pairs = (np.concatenate(pair) for pair in combinations(pieces, 2))
+    return ["".join("1" if i in kept else "0" for i in range(item_words)) for kept in (set(p.tolist()) for p in pairs)]
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
@@ -69,9 +82,11 @@ class Block:
         self.items = [np.array([self.number[w] for w in words], np.int64) for _, words in items]
         self.factors = np.random.default_rng(7).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.seeds = []
-        for mask in MASKS:
+        lengths = {len(x) for x in self.items}
+        own = [(mask, n) for n in sorted(lengths) if n <= SHORT_ITEM for mask in short_masks(n)]
+        for mask, length in [*((m, None) for m in MASKS), *own]:
             kept = np.array([i for i, c in enumerate(mask) if c == "1"])
-            found = [(h, n, at) for n, x in enumerate(self.items) if len(x) >= len(mask)
+            found = [(h, n, at) for n, x in enumerate(self.items) if (len(x) >= max(len(mask), MIN_ITEM) if length is None else len(x) == length)
                      for at, h in enumerate(self._hash(x, kept, len(mask)).tolist())]
             if found:
                 found.sort()
@@ -109,7 +124,10 @@ class Block:
                 continue
             own = self.items[item]
             begin, end = max(shift, 0), min(shift + len(own), len(numbers))
-            start, stop, matched = best_stretch(numbers[begin:end] == own[begin - shift:end - shift])
+            equal = numbers[begin:end] == own[begin - shift:end - shift]
+            start, stop, matched = best_stretch(equal)
+            if len(equal) == len(own) <= SHORT_ITEM and matched < needed(len(own)) <= equal.sum():
+                start, stop, matched = 0, len(own), int(equal.sum())
             found[item, shift] = (begin + start, begin + stop, matched)
         return sorted({(self.ids[item], *place) for (item, _), place in found.items() if place[2] >= needed(len(self.items[item]))})
 
@@ -119,7 +137,7 @@ def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str =
     held, size = [], 0
     for row in benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("t is not null").toLocalIterator():
         words = words_of(row["t"])
-        if len(words) < MIN_ITEM:
+        if not words:
             continue
         if held and size + len(words) > BLOCK_WORDS:
             yield Block(held)

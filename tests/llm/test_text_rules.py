@@ -1,5 +1,6 @@
 """Quality rules, decontamination, classifiers and secret scans against plain versions."""
 
+import itertools
 import random
 import re
 import zlib
@@ -81,6 +82,19 @@ def test_every_overlap_that_verification_accepts_is_seeded():
                 assert [m[0] for m in block.search(" ".join(["x"] * 9 + part + ["y"] * 9))] == [1], (n, part)
 
 
+def test_short_items_are_searched(spark):
+    for n in range(8, 13):
+        item = [f"w{i}" for i in range(n)]
+        block = decontaminate.Block([(1, item)])
+        for k in range(n - decontaminate.needed(n) + 1):
+            for places in itertools.combinations(range(n), k):
+                changed = ["other" if i in places else w for i, w in enumerate(item)]
+                assert [m[0] for m in block.search(" ".join(["x", *changed, "y"]))] == [1], (n, places)
+    benchmark = spark.createDataFrame([(1, "Who was Ada Lovelace?"), (2, None), (3, " ?! ")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "ask: who was ada lovelace, then"), (2, "who was ada byron"), (3, "")], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, benchmark).collect()] == [2, 3]
+
+
 def held_out_accuracy(got, labels):
     pairs = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
     return sum(a == b for a, b in pairs) / len(pairs)
