@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and strings in a sensitive context that a primed compressor cannot predict.
 
 The base patterns find assignments to password-like names, access key ids and long hexadecimal strings. Beyond them, each
-long token of letters and digits, or of capitals and small letters, on a line with a sensitive word is a candidate. Its novelty is what it adds to the compressed size of its
-surroundings, by a Zstandard compressor primed with common code and identifiers: (size of the line with it) - (size of the line
-with a gap in its place), in bits per character. Words, paths and identifiers add little; random strings add
+long token of letters and digits, or of capitals and small letters, in the context of a sensitive word is a candidate. The context is
+the word's line, ``CONTEXT_LINES`` lines on either side, and lines that follow as one long token each; that of a private key
+reaches from its BEGIN to its END. The novelty is what the candidate adds to the compressed size of its surroundings in the
+context, by a Zstandard compressor primed with common code and identifiers: (size of the surroundings with it) - (size of the
+surroundings with a gap in its place), in bits per character. Words, paths and identifiers add little; random strings add
 nearly their entropy, and those with ``MIN_BITS`` or more are reported as kind novel.
 
 Spans are in code points, end exclusive. Defined cases: a null or empty text has no spans; matches of different
@@ -43,6 +45,10 @@ PRIMER = (" function return class import export const default public static priv
           "ABCDEFGHIJKLMNOPQRSTUVWXYZ your-password-here changeme placeholder xxxxxxxxxxxxxxxx 0000000000000000 ").encode()
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _CLASSES = (re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]"))
+_TOKEN_LINE = re.compile(r"\n[\x20\t]*[A-Za-z0-9+/_=-]{16,}[\x20\t\r]*(?=\n|$)")
+_KEY_BEGIN = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+_KEY_END = re.compile(r"-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+CONTEXT_LINES = 4
 SURROUNDING = 512
 MIN_BITS = 3.5
 _PREFILTER = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
@@ -73,21 +79,49 @@ class Novelty:
         return 8 * (len(self.pack((before + candidate + after).encode("utf-8", "replace"))) - around) / len(candidate)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty) -> list[tuple[int, int, str]]:
-    """Candidates on sensitive lines that the primed compressor cannot predict."""
+def contexts(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the stretches of whole lines around sensitive words, in order, without overlaps."""
     found, line_end = [], -1
     for word in _PREFILTER.finditer(text):
         if word.start() < line_end:
             continue
-        line_start = text.rfind("\n", 0, word.start()) + 1
+        start = word.start()
+        for _ in range(CONTEXT_LINES + 1):
+            start = text.rfind("\n", 0, max(start, 0))
+            if start < 0:
+                break
         line_end = text.find("\n", word.end())
-        line_end = len(text) if line_end < 0 else line_end
-        for m in CANDIDATE.finditer(text, line_start, line_end):
+        line_end = end = len(text) if line_end < 0 else line_end
+        for _ in range(CONTEXT_LINES):
+            end = text.find("\n", end + 1)
+            if end < 0:
+                end = len(text)
+                break
+        while more := _TOKEN_LINE.match(text, end):
+            end = more.end()
+        found.append((start + 1, end))
+    for begin in _KEY_BEGIN.finditer(text) if found else ():
+        if stop := _KEY_END.search(text, begin.end()):
+            found.append((begin.start(), stop.end()))
+    merged = []
+    for start, end in sorted(found):
+        if merged and start <= merged[-1][1] + 1:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
+def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty) -> list[tuple[int, int, str]]:
+    """Candidates around sensitive words that the primed compressor cannot predict."""
+    found = []
+    for start, end in contexts(text):
+        for m in CANDIDATE.finditer(text, start, end):
             mixed = sum(c.search(m[0]) is not None for c in _CLASSES)
             if mixed < 2 or any(a < m.end() and m.start() < b for a, b, _ in base):
                 continue
-            before = text[max(line_start, m.start() - SURROUNDING):m.start()]
-            after = text[m.end():min(line_end, m.end() + SURROUNDING)]
+            before = text[max(start, m.start() - SURROUNDING):m.start()]
+            after = text[m.end():min(end, m.end() + SURROUNDING)]
             if novelty(before, m[0], after) >= MIN_BITS:
                 found.append((m.start(), m.end(), "novel"))
     return found
