@@ -1,7 +1,8 @@
 """Line-first cleaning: lines that break a rule go, documents that lose too much text are rejected.
 
 A line's rules look at its punctuation (symbols, exclamation marks, words in capitals), at repetition within it, at navigation
-(short lines of menu words or with separators) and at boilerplate phrases. The document's own rules are its length
+(lines of menu words or with separators) and at boilerplate phrases: a line of up to ``MENU_LINE`` words goes with any phrase, a
+longer one if phrases and menu words cover ``COVERED`` of its words, so that prose that mentions a phrase stays. The document's own rules are its length
 in words and the share of words inside repeated eight-word windows.
 
 Defined cases: a null text has no words; an empty text or one of blanks is rejected as too short; a line without words is kept
@@ -34,6 +35,7 @@ MAX_SHOUTED = 0.5
 MAX_ECHOED = 0.3
 MENU_WORDS_SHARE = 0.6
 MENU_LINE = 12
+COVERED = 0.35
 
 # Words of menus, phrases of boilerplate.
 MENU = frozenset("home login logout register menu search next previous prev back top share print contact about help faq sitemap "
@@ -41,6 +43,13 @@ MENU = frozenset("home login logout register menu search next previous prev back
 BOILERPLATE = re.compile(
     r"all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy|cookie policy|"
     r"(?:uses?|accept) (?:all )?cookies|enable javascript|copyright \d{4}|click here|lorem ipsum", re.IGNORECASE)
+LONG_BOILERPLATE = re.compile(
+    r"(?:©|\(c\)|copyright)(?: (?:©|\(c\)))? \d{4}(?: ?[-–] ?\d{4})?|licensed under the (?:\S+ ){1,4}?licen[sc]e(?:,? version [\d.]+)?|"
+    r"you may not use this (?:file|software|work)|except in compliance with the license|you may obtain a copy of the license|"
+    r"distributed on an .?as is.? basis|without warrant(?:y|ies)(?: or conditions)? of any kind|(?:software )?is provided .?as is|"
+    r"permission is hereby granted,? free of charge|(?:we|site|website) uses? (?:\w+ )?cookies|accept (?:all |our |the )*(?:use of )?cookies|"
+    r"by (?:continuing|using) (?:to (?:use|browse)|this|our)(?: (?:this|our|the))?(?: (?:web)?site)?|improve your (?:browsing )?experience|"
+    + BOILERPLATE.pattern, re.IGNORECASE)
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -57,11 +66,16 @@ def line_fails(line: str, words: list[str]) -> str | None:
         return "shouting"
     if n >= 6 and sum(map(eq, words, islice(words, 1, None))) > MAX_ECHOED * n:
         return "echo"
+    menu = sum(w.strip(".,:;|»›•·>").lower() in MENU for w in words)
+    if menu >= MENU_WORDS_SHARE * n or len(_SEPARATORS.findall(line)) >= max(2, n // 3):
+        return "navigation"
     if n <= MENU_LINE:
-        menu = sum(w.strip(".,:;|»›•·>").lower() in MENU for w in words)
-        if menu >= MENU_WORDS_SHARE * n or len(_SEPARATORS.findall(line)) >= max(2, n // 3):
-            return "navigation"
-        if BOILERPLATE.search(line):
+        return "boilerplate" if BOILERPLATE.search(line) else None
+    left, phrases = LONG_BOILERPLATE.subn(" ", line)
+    if phrases:
+        rest = words_of(left)
+        plain = sum(any(map(str.isalnum, w)) and w.strip(".,:;|»›•·>").lower() not in MENU for w in rest)
+        if n - plain >= COVERED * n:
             return "boilerplate"
     return None
 

@@ -50,6 +50,18 @@ def test_cleaning_takes_lines_and_documents(spark):
     assert got.columns == frame.columns and [(r.doc_id, r.text) for r in got.collect()] == [(1, good)]
 
 
+@pytest.mark.parametrize("line, rule", [
+    ("Copyright 2024 Example Inc. All rights reserved. Use of this site is subject to our Terms of Use and Privacy Policy.", "boilerplate"),
+    ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "boilerplate"),
+    ("We use cookies to improve your experience on this site; by continuing to browse you accept all cookies.", "boilerplate"),
+    ("Home About Contact Help FAQ Sitemap Search Register Login Newsletter Facebook Twitter Instagram Share Print", "navigation"),
+    ("The court found that the privacy policy of the company did not tell its customers which data were sold to others.", None),
+    ("After the merger the library was licensed under the same conditions as before, which most of its authors had hoped for.", None)])
+def test_long_lines_are_judged_by_the_share_covered(line, rule):
+    words = quality_rules.words_of(line)
+    assert len(words) > 12 and quality_rules.line_fails(line, words) == rule
+
+
 def test_decontamination(spark, docs, rows):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     items = {r.item_id: decontaminate.words_of(r.text) for r in benchmark.collect()}
