@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censusmart.llm import chat, decontaminate, mixing, quality_classifier, quality_rules, secrets, simhash, token_files, toxicity, warc
+from censusmart.llm import (chat, collocations, decontaminate, licenses, mixing, quality_classifier, quality_rules, secrets, simhash, spelling,
+                            token_files, toxicity, warc)
 from censusmart.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL", "TOKENIZER"]
@@ -74,5 +75,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_files, op3_simhash, op4_warc, op5_chat, op6_quality_rules, op7_decontaminate,
-                                   op8_toxicity, op9_quality_classifier, op10_secrets)}
+                                   op8_toxicity, op9_quality_classifier, op10_secrets, op11_licenses, op12_spelling, op13_collocations)}
