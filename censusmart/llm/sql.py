@@ -82,12 +82,12 @@ blocks AS (
         FROM docs, (SELECT DISTINCT width FROM templates))),
 shared AS (
   SELECT b.row, b.start, t.label, t.exact, t.needed, len(list_intersect(b.block, t.members)) AS shared, len(t.members) AS size,
-         CASE WHEN t.exact THEN list_filter(range(t.width // 2), i -> b.block[i + 1 : i + len(t.words)] = t.words) ELSE [] END AS places
+         CASE WHEN t.exact THEN list_filter(range(t.width // 2), lambda i: b.block[i + 1 : i + len(t.words)] = t.words) ELSE [] END AS places
   FROM blocks b JOIN templates t USING (width)),
 found AS (
-  SELECT *, list_transform(places, p -> p + start) AS at FROM shared WHERE shared >= needed AND (NOT exact OR len(places) > 0)),
+  SELECT *, list_transform(places, lambda p: p + start) AS spots FROM shared WHERE shared >= needed AND (NOT exact OR len(places) > 0)),
 per_row AS (
-  SELECT row, sum(len(at)) AS n_base, min(list_min(at)) AS first_word, max(list_max(at)) AS last_word,
+  SELECT row, sum(len(spots)) AS n_base, min(list_min(spots)) AS first_word, max(list_max(spots)) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
          max(shared / size) AS score
   FROM found GROUP BY row)
@@ -104,12 +104,12 @@ WITH RECURSIVE runs AS (
   FROM documents),
 distinct_runs AS (SELECT id, run, count(*) AS n FROM runs GROUP BY id, run),
 crc_table AS (
-  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], (c, _) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc FROM range(256) r(i)),
+  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc FROM range(256) r(i)),
 crc_list AS (SELECT list(crc ORDER BY i) AS crcs FROM crc_table),
 hashed AS (
   SELECT id, run, n, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(id || ':' || run, ''),
-         c -> CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))),
-         (c, b) -> xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) AS h
+         lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))),
+         lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) AS h
   FROM distinct_runs, crc_list),
 dropped AS (
   SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
