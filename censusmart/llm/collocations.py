@@ -38,6 +38,7 @@ SIDE_BITS = 10
 DENSE_PAIRS = 1 << 16
 CHUNK_PAIRS = 1 << 22
 FLUSH_WORDS = 300_000
+SLICE_TEXTS = 512
 # An item's id and a word's id share one long.
 WORD_BITS = 28
 _BREAKS = bytes(ord(".") if b in b".,;:!?\n\x0b\x0c\r" else ord(" ") if b in b" \t" else b for b in range(256))
@@ -92,7 +93,7 @@ def with_words(texts: DataFrame, vocabulary: DataFrame, head: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             words, places, keys = [], [], []
             for lang, text in zip(batch.column(1).to_pylist(), batch.column(2)):
                 known, tokens = shared.value.get(lang, {}), tokens_of(text.as_py())
@@ -136,6 +137,13 @@ def _with_tail(found: DataFrame, keyed: DataFrame, column: str, kind: str) -> Da
     return both.mapInArrow(run, found.drop("places", "keys").schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few texts, so that arrays over a slice stay small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_TEXTS):
+            yield batch.slice(at, SLICE_TEXTS)
+
+
 def _codes(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, items, words): where an item of ``size`` words is followed by a word, over a batch's texts end to end.
 
@@ -149,45 +157,54 @@ def _codes(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np
     return at, items[at].astype(np.int64), words[at + size]
 
 
-def tile_counts(items: np.ndarray, words: np.ndarray, side_bits: int = SIDE_BITS, dense: int = DENSE_PAIRS) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, counts) of the different pairs; a code is item * 2**WORD_BITS + word."""
+def tile_keys(items: np.ndarray, words: np.ndarray, side_bits: int = SIDE_BITS) -> np.ndarray:
+    """One long per pair: the pair's tile, then its cell in the tile."""
+    cells = 1 << side_bits
     tiles = ((items >> side_bits) << (WORD_BITS - side_bits)) | (words >> side_bits)
-    order = np.argsort(tiles, kind="stable")
-    tiles, items, words = tiles[order], items[order], words[order]
-    starts = np.flatnonzero(np.r_[True, tiles[1:] != tiles[:-1]]) if len(tiles) else np.zeros(0, np.int64)
-    ends = np.r_[starts[1:], len(tiles)][:len(starts)]
-    full = ends - starts >= dense
-    codes, counts = [], []
-    mask = (1 << side_bits) - 1
-    for a, b in zip(starts[full].tolist(), ends[full].tolist()):
-        cells = np.bincount(((items[a:b] & mask) << side_bits) | (words[a:b] & mask), minlength=1 << (2 * side_bits))
+    return (tiles << (2 * side_bits)) | ((items & (cells - 1)) << side_bits) | (words & (cells - 1))
+
+
+def tile_counts(keys: np.ndarray, side_bits: int = SIDE_BITS, dense: int = DENSE_PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of the different pairs, from keys that are sorted in place; a code is item * 2**WORD_BITS + word."""
+    keys.sort()
+    cell_bits = 2 * side_bits
+    tiles = keys >> cell_bits
+    starts = np.flatnonzero(np.r_[True, tiles[1:] != tiles[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[starts, len(keys)])
+    found, counts = [], []
+    for a, n in zip(starts[sizes >= dense].tolist(), sizes[sizes >= dense].tolist()):
+        cells = np.bincount(keys[a:a + n] & ((1 << cell_bits) - 1), minlength=1 << cell_bits)
         hit = np.flatnonzero(cells)
-        codes.append((((items[a] & ~mask) | (hit >> side_bits)) << WORD_BITS) | ((words[a] & ~mask) | (hit & mask)))
+        found.append((tiles[a] << cell_bits) | hit)
         counts.append(cells[hit])
-    thin = np.repeat(~full, ends - starts)
-    own, n = np.unique((items[thin] << WORD_BITS) | words[thin], return_counts=True)
-    return np.concatenate([*codes, own]), np.concatenate([*counts, n])
+    thin = keys[np.repeat(sizes < dense, sizes)]
+    first = np.flatnonzero(np.r_[True, thin[1:] != thin[:-1]]) if len(thin) else np.zeros(0, np.int64)
+    different = np.concatenate([*found, thin[first]])
+    tile, cell = different >> cell_bits, different & ((1 << cell_bits) - 1)
+    items = ((tile >> (WORD_BITS - side_bits)) << side_bits) | (cell >> side_bits)
+    words = ((tile & ((1 << (WORD_BITS - side_bits)) - 1)) << side_bits) | (cell & ((1 << side_bits) - 1))
+    return (items << WORD_BITS) | words, np.concatenate([*counts, np.diff(np.r_[first, len(thin)])])
 
 
 def pair_counts(sequences: DataFrame, size: int) -> DataFrame:
     """(code, n): how often an item of ``size`` words is followed by a word, from (row, words[, items])."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = [np.zeros(0, np.int64)]
         pairs = 0
 
         def counted() -> pa.RecordBatch:
-            items, words = (np.concatenate([np.zeros(0, np.int64), *(h[i] for h in held)]) for i in (0, 1))
-            codes, counts = tile_counts(items, words)
+            codes, counts = tile_counts(np.concatenate(held))
             return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], names=["code", "n"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             _, items, words = _codes(batch, size)
             for a in range(0, len(items), CHUNK_PAIRS):
-                held.append((items[a:a + CHUNK_PAIRS], words[a:a + CHUNK_PAIRS]))
-                pairs += len(held[-1][0])
+                held.append(tile_keys(items[a:a + CHUNK_PAIRS], words[a:a + CHUNK_PAIRS]))
+                pairs += len(held[-1])
                 if pairs >= CHUNK_PAIRS:
                     yield counted()
-                    held, pairs = [], 0
+                    del held[1:]
+                    pairs = 0
         yield counted()
 
     return sequences.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
@@ -202,7 +219,7 @@ def with_items(sequences: DataFrame, frequent: DataFrame, size: int, head: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ids = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             at, items, words = _codes(batch, size)
             own = (items << WORD_BITS) | words
             found = np.full(len(own), -1, np.int64)

@@ -66,15 +66,16 @@ def test_tiles_equal_plain_counting():
     items, words = (rng.pareto(0.5, 30_000) * 3).astype(np.int64) % 5000, (rng.pareto(0.7, 30_000) * 3).astype(np.int64) % 3000
     expected = Counter(((items << collocations.WORD_BITS) | words).tolist())
     for bits, dense in ((10, 1 << 16), (4, 20), (6, 1), (10, 1)):
-        codes, counts = collocations.tile_counts(items, words, bits, dense)
+        codes, counts = collocations.tile_counts(collocations.tile_keys(items, words, bits), bits, dense)
         assert dict(zip(codes.tolist(), counts.tolist())) == expected and len(codes) == len(expected)
-    assert all(len(x) == 0 for x in collocations.tile_counts(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    assert all(len(x) == 0 for x in collocations.tile_counts(np.zeros(0, np.int64)))
 
 
 def test_small_chunks_change_nothing(spark, monkeypatch):
     docs = corpus()
     monkeypatch.setattr(collocations, "CHUNK_PAIRS", 50)
     monkeypatch.setattr(collocations, "FLUSH_WORDS", 10)
+    monkeypatch.setattr(collocations, "SLICE_TEXTS", 3)
     frame = spark.createDataFrame(docs, "doc_id long, lang string, text string")
     assert sorted(tuple(r) for r in collocations.collocations(frame, min_count=12, top=5).collect()) == brute(docs, 12, 80, 5)
 
