@@ -3,30 +3,24 @@
 Two fingerprints differ in two bits at most exactly if some value lies within one bit of both. So every
 fingerprint emits itself and its one-bit variants, and fingerprints that emit the same variant meet.
 
-``fingerprint_components`` links fingerprints alone. Distinct fingerprints meet in a variant as one 64-bit mask of
-flipped positions, a fixed-size aggregate: at most ``bits + 1`` fingerprints can share a variant, however many
-documents have them, and all of them are within two bits of each other.
-
-``near_duplicates`` uses the meetings as candidates only and verifies them on the texts: a link is a Jaccard similarity of
-word shingles of ``similarity`` or more. Several fingerprints of the set of words find most links cheaply: in a variant's
-bucket each text meets the smallest text and its neighbour in order. That search loses links, so an exact one follows
-(``_exact_links``): texts that similar share a shingle among the rarest of each (prefix filter), and all pairs that do and are not
-in one group yet are verified, or excluded by bounds that no link can break. No link between different texts is lost.
-
-Defined cases: a null text is an empty one. A text without words has fingerprint zero; fewer words than
-a shingle's make one shingle. Texts without words count as alike. A null id is never the smallest one.
-Extra columns are carried through untouched. An empty table gives an empty result.
+Distinct fingerprints meet in a variant as one 64-bit mask of flipped positions, a fixed-size aggregate: at most ``bits + 1``
+fingerprints can share a variant, however many documents have them, and all of them are within two bits of each other. Documents
+are reduced to different fingerprints inside the tasks before anything is shuffled, so a text with a million copies is one row a task.
+
+Defined cases: a null text is an empty one. A text without words has fingerprint zero and is linked like any other; fewer words than
+a shingle's make one shingle. Texts of any length are hashed whole, in blocks. A null id is never the smallest one: it counts as the
+component's id, or its document stays, only where the whole component has no other. Repeated rows are one component. Extra columns are
+carried through untouched. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from censusmart.llm.components import connected_components
@@ -34,12 +28,7 @@ from censusmart.llm.storage import saved, unused
 
 SEED = 42
 RADIUS = 2
-SHINGLE = 5
-SIMILARITY = 0.8
-CANDIDATE_SEEDS = (1, 2, 3, 4, 5, 6)
-CANDIDATE_BITS = 48
-SAMPLE_TEXTS = 20_000
-COMMON_SHINGLES = 200_000
+SHINGLE = 3
 _BLOCK = 1 << 15
 
 
@@ -75,31 +64,18 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def with_fingerprints(docs: DataFrame, text: str, keep: list[Column], shingle: int, seeds: tuple[int, ...],
-                      bits: int = 64, as_set: bool = False) -> DataFrame:
-    """The ``keep`` columns, ``n_features`` and ``fingerprints`` (one long per seed)."""
+def with_fingerprints(docs: DataFrame, text: str, keep: list[Column], shingle: int, seed: int = SEED) -> DataFrame:
+    """The ``keep`` columns and ``fp``, the text's fingerprint as a long."""
     kept = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
     names = kept.columns[:-1]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints = [], []
-            for text_ in batch.column(len(names)):
-                features = shingles_of(words_of(text_.as_py()), shingle)
-                features = set(features) if as_set else features
-                sizes.append(len(features))
-                prints.append([_signed(simhash(features, seed, bits)) for seed in seeds])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array(prints, pa.list_(pa.int64()))],
-                names=[*names, "n_features", "fingerprints"])
-
-    return kept.mapInArrow(run, f"{schema}, n_features long, fingerprints array<long>")
-
+            prints = [_signed(simhash(shingles_of(words_of(own.as_py()), shingle), seed)) for own in batch.column(len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints, pa.int64())], names=[*names, "fp"])
 
-def variants(value: Column, bits: int) -> Column:
-    """The value and its one-bit neighbours."""
-    return F.transform(F.sequence(F.lit(0), F.lit(bits)), lambda i: F.when(i < bits, value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))).otherwise(value))
+    return kept.mapInArrow(run, f"{schema}, fp long")
 
 
 def fingerprint_links(prints: DataFrame, bits: int = 64) -> DataFrame:
@@ -121,227 +97,39 @@ def fingerprint_links(prints: DataFrame, bits: int = 64) -> DataFrame:
             .where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)).distinct())
 
 
-def fingerprint_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+def fingerprint_roots(prints: DataFrame) -> DataFrame:
+    """``prints`` with ``root``, which is the same for all fingerprints that links reach; ``fp`` must be distinct."""
+    components = connected_components(fingerprint_links(prints.select("fp")))
+    return prints.join(components.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def fingerprint_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row; fingerprint in 16 hexadecimal digits.
 
     component_id is the smallest id among the documents that links of two bits at most reach.
     """
-    rows = saved(with_fingerprints(docs, text, [F.col(doc_id).alias("doc_id")], shingle, (SEED,))
-                 .select("doc_id", F.col("fingerprints")[0].alias("fp")), "fingerprints")
-    prints = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    components = connected_components(fingerprint_links(prints.select("fp")))
-    rooted = (prints.join(components.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    rows = saved(with_fingerprints(docs, text, [F.col(doc_id).alias("doc_id")], shingle), "fingerprints")
+    rooted = fingerprint_roots(saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _alike(similarity: float, shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple = (None, None)
-        for batch in batches:
-            found = []
-            for a, b, left, right in zip(*(c.to_pylist() for c in batch.columns)):
-                if held[0] != a:
-                    held = (a, set(shingles_of(words_of(left), shingle)))
-                one, two = held[1], set(shingles_of(words_of(right), shingle))
-                shared = len(one & two)
-                found.append(shared >= similarity * (len(one) + len(two) - shared))
-            yield batch.filter(pa.array(found, pa.bool_())).select([0, 1])
-    return run
-
-
-def candidate_pairs(texts: DataFrame, bits: int) -> DataFrame:
-    """(a, b) with a < b: texts that meet in a variant, from (node, fingerprints).
+def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """The input's rows and columns with one row left of each component: the smallest id's.
 
-    Each text of a bucket is paired with the bucket's first and with the one before it.
+    Rows of one id with different texts are told apart by 128 bits of hashes of the text; the smallest hashes stay.
     """
-    one = texts.select("node", F.posexplode("fingerprints").alias("seed", "fp"))
-    spread = one.select("node", F.call_function("shiftleft", F.col("seed").cast("long"), F.lit(bits)).alias("at"),
-                        F.explode(variants(F.col("fp"), bits)).alias("variant"))
-    bucket = Window.partitionBy("bucket").orderBy("node")
-    met = spread.select("node", F.col("variant").bitwiseOR(F.col("at")).alias("bucket")).select(
-        "node", F.first("node").over(bucket).alias("first"), F.lag("node").over(bucket).alias("before"))
-    pairs = met.where(F.col("before").isNotNull()).select(F.explode(F.array("first", "before")).alias("a"), F.col("node").alias("b"))
-    return pairs.distinct()
-
-
-def _sides(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) with the columns of both texts, prefixed a_ and b_."""
-    def side(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in texts.columns if c != "node"])
-
-    return pairs.join(side("b"), "b").join(side("a"), "a")
-
-
-def _plausible(bits: int, similarity: float) -> Column:
-    """Whether the fingerprints of a pair's ``_sides``, all taken together, leave the similarity possible.
-
-    Sets of Jaccard similarity s have the cosine 2s / (1 + s) if equally large, and a share arccos / pi of their bits
-    differs. The limit is 1.8 times that share. It spares the texts of chance meetings the shuffle; texts of few
-    different words can be alike in shingles beyond it, and are left to the exact search.
-    """
-    one, two = F.col("a_fingerprints"), F.col("b_fingerprints")
-    differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
-    return differ <= 1.8 * math.acos(2 * similarity / (1 + similarity)) / math.pi * bits * F.size(one)
-
-
-def _verified(pairs: DataFrame, source: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts are alike; only texts that a pair names are moved."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first"))
-    bodies = saved(source.join(first, "node").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("node", "text")
-                   .withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("node"))).where("nth = 1").drop("nth"), "texts")
-    both = (pairs.join(bodies.select(F.col("node").alias("b"), F.col("text").cast("binary").alias("right")), "b")
-            .join(bodies.select(F.col("node").alias("a"), F.col("text").cast("binary").alias("left")), "a").select("a", "b", "left", "right"))
-    return saved(both.mapInArrow(_alike(similarity, shingle), "a long, b long"), "verified")
-
-
-_FACTORS = np.random.default_rng(11).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def hashed_shingles(words: list[bytes], size: int) -> np.ndarray:
-    """Sorted different 64-bit hashes of the words' shingles; the single hash 0 without words."""
-    if not words:
-        return np.zeros(1, np.int64)
-    numbers = {w: xxhash.xxh64_intdigest(w, SEED) for w in set(words)}
-    values = np.fromiter(map(numbers.__getitem__, words), np.uint64, len(words))
-    span = min(size, len(words))
-    n = len(values) - span + 1
-    total = np.full(n, span, np.uint64)
-    for i in range(span):
-        total = (total + values[i:i + n]) * _FACTORS[i % 64]
-    return np.unique(total.view(np.int64))
-
-
-def _least_shared(similarity: float, one: Column, two: Column) -> Column:
-    """Shingles that texts of so many shingles must share (one less where rounding leaves it open)."""
-    return F.ceil((one + two) * (similarity / (1 + similarity)) - 1e-6)
-
-
-def prefixes(source: DataFrame, shingle: int, similarity: float, common: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(node, n, prefix): of each text the number of shingles and the hashes of its rarest, rarest first.
-
-    Texts of the similarity share ``similarity`` times the larger one's shingles or more; so, in any order common to all texts,
-    they share one of the first n - ceil(similarity * n) + 1 of each. The order is by ``counts`` of the ``common``
-    shingles (others 0), then by hash: what it is matters to the number of candidates only.
-    """
-    shared = source.sparkSession.sparkContext.broadcast((common, counts))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, often = shared.value
-        for batch in batches:
-            sizes, firsts = [], []
-            for text in batch.column(1):
-                own = hashed_shingles(words_of(text.as_py()), shingle)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                    own = own[np.argsort(np.where(known[at] == own, often[at], 0), kind="stable")]
-                sizes.append(len(own))
-                firsts.append(own[:len(own) - math.ceil(similarity * len(own) - 1e-6) + 1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))],
-                                             names=["node", "n", "prefix"])
-
-    found = source.select("node", F.col("text").cast("binary")).mapInArrow(run, "node long, n int, prefix array<long>")
-    return found.groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-
-
-def common_shingles(source: DataFrame, texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of the most frequent shingles in about ``SAMPLE_TEXTS`` texts; bounded, and only an order."""
-    every = max(1, texts.count() // SAMPLE_TEXTS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [hashed_shingles(words_of(t.as_py()), shingle) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*own, np.zeros(0, np.int64)]), pa.int64())], names=["h"])
-
-    sample = source.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select(F.col("text").cast("binary"))
-    often = (sample.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("c")).where("c > 2")
-             .orderBy(F.desc("c"), "h").limit(COMMON_SHINGLES).toPandas().sort_values("h"))
-    return often["h"].to_numpy(np.int64), often["c"].to_numpy(np.int64)
-
-
-def _with_groups(table: DataFrame, links: DataFrame) -> DataFrame:
-    """``table`` with the component that the links give each node."""
-    roots = saved(connected_components(links), "groups")
-    return table.join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
-
-
-def _exact_links(source: DataFrame, rows: DataFrame, texts: DataFrame, links: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The links that make groups complete: every pair of different texts is linked, verified, excluded or in one group.
-
-    First each text meets, per shared prefix shingle, the smallest text and the one before it, so that a group of many copies
-    becomes one component by pairs that grow with the rows. Then all pairs across components that share a prefix
-    shingle are counted by the shingles they share, and verified where that count leaves the similarity possible.
-    """
-    known = saved(prefixes(source, shingle, similarity, *common_shingles(source, texts, shingle)), "prefixes")
-    tokens = known.select("node", "n", F.size("prefix").alias("kept"), F.posexplode("prefix").alias("pos", "h"))
-    by_hash = Window.partitionBy("h")
-    met = saved(tokens.withColumn("first", F.min("node").over(by_hash)).withColumn("last", F.max("node").over(by_hash))
-                .where(F.col("first") != F.col("last")).drop("last"), "meeting")
-
-    in_order = by_hash.orderBy("node")
-    near = (met.withColumn("before", F.lag("node").over(in_order)).where("before is not null")
-            .select(F.explode(F.array("first", "before")).alias("a"), F.col("node").alias("b")).distinct())
-    sides = _sides(near, _with_groups(known, links)).where(F.col("a_component") != F.col("b_component"))
-    beyond = F.greatest(F.col("a_n") - F.size("a_prefix"), F.col("b_n") - F.size("b_prefix"))
-    possible = F.size(F.array_intersect("a_prefix", "b_prefix")) + beyond >= _least_shared(similarity, F.col("a_n"), F.col("b_n"))
-    links = links.unionByName(_verified(saved(sides.where(possible).select("a", "b"), "plausible"), source, rows, shingle, similarity))
-
-    grouped = _with_groups(met.drop("first"), links)
-    mixed = saved(grouped.withColumn("low", F.min("component").over(by_hash)).withColumn("high", F.max("component").over(by_hash))
-                  .where("low != high").drop("low", "high"), "mixed")
-
-    def side(name: str) -> DataFrame:
-        return mixed.select("h", *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "kept", "pos", "component")])
-
-    a_n, b_n, need = F.col("a_n"), F.col("b_n"), _least_shared(similarity, F.col("a_n"), F.col("b_n"))
-    positional = F.least("a_pos", "b_pos") + 1 + F.least(a_n - F.col("a_pos") - 1, b_n - F.col("b_pos") - 1) >= need
-    meetings = side("a").join(side("b"), "h").where((F.col("a_component") < F.col("b_component")) & positional)
-    shared = meetings.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(
-        F.count("*").alias("shared"), *[F.first(c).alias(c) for c in ("a_n", "b_n", "a_kept", "b_kept")])
-    rest = shared.where(F.col("shared") + F.greatest(a_n - F.col("a_kept"), b_n - F.col("b_kept")) >= need).select("a", "b")
-    return links.unionByName(_verified(saved(rest, "remaining"), source, rows, shingle, similarity))
-
-
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
-                    seeds: tuple[int, ...] = CANDIDATE_SEEDS, bits: int = CANDIDATE_BITS) -> DataFrame:
-    """(doc_id, node, component, keep_id, keep_node): one row per different (id, text).
-
-    node stands for the text (its 64-bit hash), component for its group; keep_id and keep_node name the
-    group's document with the smallest id. Each text is verified against its smallest candidate first; of the
-    other pairs, those whose texts hang on one verified text already are in one group and need no comparison. The exact
-    search then adds every link that is missing.
-    """
-    node = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node")
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), node)
-    rows = saved(with_fingerprints(source, "text", [F.col("doc_id"), F.col("node")], 1, seeds, bits, as_set=True), "sketches")
-    texts = rows.groupBy("node").agg(F.first("fingerprints").alias("fingerprints"))
-    pairs = saved(candidate_pairs(texts, bits), "candidates")
-    smallest = saved(pairs.groupBy("b").agg(F.min("a").alias("a")), "smallest")
-    tried = saved(_sides(smallest, texts).where(_plausible(bits, similarity)).select("a", "b"), "plausible")
-    links = _verified(tried, source, rows, shingle, similarity)
-    hangs = saved(texts.join(smallest.select(F.col("b").alias("node"), F.col("a").alias("tried")), "node", "left")
-                  .join(links.select(F.col("b").alias("node"), F.col("a").alias("parent")), "node", "left"), "parents")
-    apart = (F.col("a") != F.col("b_tried")) & (F.coalesce("b_parent", "b") != F.coalesce("a_parent", "a"))
-    rest = saved(_sides(pairs, hangs).where(apart & _plausible(bits, similarity)).select("a", "b"), "plausible")
-    links = links.unionByName(_verified(rest, source, rows, shingle, similarity))
-    components = connected_components(_exact_links(source, rows, texts, links, shingle, similarity))
-    placed = (rows.select("doc_id", "node").distinct().join(components, "node", "left")
-              .select("doc_id", "node", F.coalesce("root", "node").alias("component")))
-    first_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
-    kept = placed.groupBy("component").agg(F.min(first_id).alias("keep"))
-    return placed.join(kept, "component").select("doc_id", "node", "component", F.col("keep.doc_id").alias("keep_id"), F.col("keep.node").alias("keep_node"))
-
-
-def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The input's rows and columns with one row left of each group of alike documents: the smallest id's."""
-    groups = near_duplicates(docs, doc_id, text, **options)
-    own, stay_id, stay_node, nth = (unused(name, docs.columns) for name in ("_node", "_stay_id", "_stay_node", "_nth"))
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("node") == F.col("keep_node"))).select(
-        F.col("doc_id").alias(stay_id), F.col("node").alias(stay_node))
-    hashed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    found = hashed.join(stay, (F.col(own) == F.col(stay_node)) & F.col(doc_id).eqNullSafe(F.col(stay_id)))
-    once = F.row_number().over(Window.partitionBy(stay_node).orderBy(stay_node))
-    return found.withColumn(nth, once).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = [unused(name, docs.columns) for name in ("_h1", "_h2")]
+    # Two independent hashes: the second one reads the text behind a salt.
+    body = F.coalesce(F.col(text), F.lit(""))
+    hashes = [F.xxhash64(body), F.xxhash64(F.lit("second"), body)]
+    hashed = docs.select("*", *[h.alias(n) for h, n in zip(hashes, names)])
+    rows = saved(with_fingerprints(docs, text, [F.col(doc_id).alias("doc_id"), hashes[0].alias("h1"), hashes[1].alias("h2")], shingle), "fingerprints")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("least")
+    rooted = fingerprint_roots(saved(rows.groupBy("fp").agg(least), "distinct"))
+    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(*[F.col(f"least.{c}").alias(unused(f"_stay_{c}", docs.columns)) for c in ("doc_id", "h1", "h2")])
+    stay_id, stay_h1, stay_h2 = (F.col(c) for c in stay.columns)
+    found = hashed.join(stay, (F.col(names[0]) == stay_h1) & (F.col(names[1]) == stay_h2) & F.col(doc_id).eqNullSafe(stay_id))
+    # Rows equal in id and text meet in one component and one pair of hashes; the aggregation leaves one, inside the tasks first.
+    return found.dropDuplicates([stay.columns[1], stay.columns[2]]).select(*[F.col(f"`{c}`") for c in docs.columns])

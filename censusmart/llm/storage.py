@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,18 +17,9 @@ def unused(name: str, columns: list[str]) -> str:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder's name below ``spark.checkpoint.dir``.
-
-    Where that setting is absent, a local session uses a temporary folder; a cluster raises, since
-    a machine-local folder would be invisible to the other executors.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared is None:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="censusmart-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    """A new folder's name below ``spark.checkpoint.dir``, or below the warehouse where that setting is absent; executors share both."""
+    shared = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+              or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -16,6 +16,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,16 @@ class Tokenizer:
     """Ids of texts from a tokenizer file of byte-level BPE.
 
     Merges never cross a piece, so the library encodes each different piece once and its ids are reused; the
-    memory of pieces is bounded and starts anew when full.
+    memory of pieces is bounded and starts anew when full. A text with a token that the file adds beside its
+    merges, such as an end mark, goes to the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
-        self.library.encode_special_tokens = True
+        added = sorted((t.content for t in self.library.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.whole = re.compile("|".join([_UNSURE.pattern, *map(re.escape, added)]))
         self.vocabulary = self.library.get_vocab_size()
         self._forget()
 
@@ -77,7 +80,7 @@ class Tokenizer:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > CACHE_PIECES:
             self._forget()
-        split = [None if _UNSURE.search(t) else _PIECE.findall(t) for t in texts]
+        split = [None if self.whole.search(t) else _PIECE.findall(t) for t in texts]
         self._learn(set().union(*(p for p in split if p)))
         whole = iter(self._library([t for t, p in zip(texts, split) if p is None]))
         return [np.array(next(whole), np.uint32) if p is None else self._joined(p) for p in split]
@@ -89,6 +92,12 @@ class Tokenizer:
         return self.flat[np.repeat(starts - upto + lengths, lengths) + np.arange(upto[-1] if len(upto) else 0)]
 
 
+@lru_cache(maxsize=1)
+def worker_tokenizer(path: str) -> Tokenizer:
+    """The worker process's tokenizer, kept from task to task with the pieces it knows."""
+    return Tokenizer(path)
+
+
 def pack(partition: int, segment: int, doc_ids: list[int | None], ids: list[np.ndarray], vocabulary: int) -> bytes:
     """One segment file."""
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
@@ -135,11 +144,12 @@ def unpack(content: bytes) -> tuple[int, int, list[int | None], list[np.ndarray]
 def write_tokens(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> str:
     """Write all documents; returns the folder of the segment files."""
     ordered = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-               .repartitionByRange(F.col("doc_id").asc_nulls_last())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")))
+               .withColumn("hash", F.xxhash64("text"))
+               .repartitionByRange(F.col("doc_id").asc_nulls_last(), F.col("hash"))
+               .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "hash").drop("hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(tokenizer_path)
+        tokenizer = worker_tokenizer(tokenizer_path)
         partition, segment, held, doc_ids, ids = TaskContext.get().partitionId(), 0, 0, [], []
         end = np.array([end_id], np.uint32)
 
