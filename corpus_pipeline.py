@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies or near copies (five words, similarity 0.8): the smallest id."""
+    """One document of each component of fingerprints (three-word shingles, links of two bits at most): the smallest id."""
     return simhash.without_near_duplicates(docs)
 
 
