@@ -52,11 +52,6 @@ def first_available(
     return out.withColumn(name, F.coalesce(*found)).drop(*extra)
 
 
-def surrogate_of(dim: DataFrame, source_key: str, as_name: str, id_col: str = "id") -> DataFrame:
-    """``(source_key, as_name)`` with one surrogate per source key, the lowest."""
-    return dim.groupBy(source_key).agg(F.min(id_col).alias(as_name))
-
-
 def expand_periods(
     people: DataFrame, periods: DataFrame, school: str = "school_id",
     period_school: str | None = None,

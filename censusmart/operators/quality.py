@@ -99,6 +99,26 @@ def orphans(name: str, child: DataFrame, column: str, parent: DataFrame, key: st
     return _summed(name, lost)
 
 
+def references(child: DataFrame, refs: Mapping[str, tuple[str, DataFrame]], key: str = "id") -> DataFrame:
+    """``orphans`` for several ``{check: (column, parent)}`` of one child, in one scan, one shuffle of it and one join.
+
+    Every row sends its references out with their numbers and is reduced to different references inside the tasks; the parents'
+    keys are stacked the same way, and one anti join tells all that are missing.
+    """
+    asked = child.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_no"), F.col(column).cast("bigint").alias("_ref")) for i, (column, _) in enumerate(refs.values())
+    ]))).groupBy("_no", "_ref").count()
+    known = reduce(DataFrame.unionByName, [
+        parent.select(F.lit(i).alias("_no"), F.col(key).cast("bigint").alias("_ref")) for i, (_, parent) in enumerate(refs.values())
+    ])
+    lost = asked.join(known, ["_no", "_ref"], "left_anti")
+    sums = lost.agg(*[F.coalesce(F.sum(F.when(F.col("_no") == i, F.col("count"))), F.lit(0)).cast("bigint").alias(f"c{i}") for i in range(len(refs))])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("row_count"), F.lit(None).cast("bigint").alias("base"))
+        for i, name in enumerate(refs)
+    ])))
+
+
 def _summed(name: str, counted: DataFrame) -> DataFrame:
     return counted.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("row_count")).select(
         F.lit(name).alias("check_name"), F.col("row_count").cast("bigint"),
@@ -234,5 +254,11 @@ class Suite:
         self.rules[name] = rule
         return self
 
+    def refer(self, child: DataFrame, refs: Mapping[str, tuple[str, DataFrame, Rule]]) -> Suite:
+        """Checks of several references of one frame; they share its scan, its shuffle and the join."""
+        self.counts.append(references(child, {name: (column, parent) for name, (column, parent, _) in refs.items()}))
+        self.rules.update({name: rule for name, (_, _, rule) in refs.items()})
+        return self
+
     def run(self, as_of: date, run_id: Column | None = None) -> DataFrame:
         return run_checks(self.mart, self.counts, self.rules, as_of, run_id)

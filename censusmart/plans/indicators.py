@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from censusmart.operators.shape import parity, with_totals
 from censusmart.operators.upsert import upsert
 from censusmart.plans.common import Tables, dated_or_february, general_periods, on_calendar, period_dates
 from censusmart.plans.enrolment import DISABILITY_WORDS
+from censusmart.session import cut_lineage
+from censusmart.sources.warehouse import Warehouse
 
 FIRST_YEAR = 2022
 
@@ -63,12 +67,36 @@ def population_fact(t: Tables) -> DataFrame:
     )
 
 
-def district_counts(t: Tables) -> DataFrame:
-    """Enrolment counts by district, school level, year and gender.
+def placed_schools(t: Tables) -> DataFrame:
+    """Current schools with their level and each district that their unit reaches."""
+    schools = t["dw.schools_dim"].filter("is_current").select(
+        F.col("id").alias("school_id"), F.col("school_type").alias("school_level"),
+        F.col("admin_unit_id").alias("unit_dim_id"),
+    )
+    return schools.join(climb(t["dw.admin_units_dim"]), "unit_dim_id").withColumnRenamed("district_dim_id", "district_id")
+
+
+def changed_groups(t: Tables, changed: DataFrame) -> DataFrame:
+    """(district, level, year) groups whose indicators a batch of enrolment facts can change.
+
+    Rows of one school and year are one key before they meet the schools. A school without a level has no key in the indicator
+    fact and belongs to no group.
+    """
+    keys = changed.filter(F.col("academic_year") >= FIRST_YEAR).select("school_id", "academic_year").distinct()
+    return keys.join(placed_schools(t).filter("school_level is not null"), "school_id").select(*ENROLMENT_KEY[:3]).distinct()
+
+
+def district_counts(t: Tables, groups: DataFrame | None = None) -> DataFrame:
+    """Enrolment counts by district, school level, year and gender; with ``groups`` of these groups alone.
 
     The fact meets the learners once and is then reduced to one row per school, year and gender;
-    only these counts go on to the schools and the (possibly repeating) district map.
+    only these counts go on to the schools and the (possibly repeating) district map. Of a partitioned fact, groups
+    leave their years' partitions only (dynamic pruning), and of these the rows of their schools.
     """
+    fact, schools = t["dw.enrolment_fact"].filter(F.col("academic_year") >= FIRST_YEAR), placed_schools(t)
+    if groups is not None:
+        asked = schools.join(groups, ["district_id", "school_level"])
+        fact = fact.join(asked.select("school_id", "academic_year").distinct(), ["school_id", "academic_year"], "left_semi")
     grades = t["dw.grade_dim"].select(
         F.col("id").alias("grade_id"),
         (matches_any(F.col("grade_name"), ["%P1%", "%BABY%"]) | (F.upper("grade_code") == "P1")).alias("_first"),
@@ -80,8 +108,7 @@ def district_counts(t: Tables) -> DataFrame:
         F.col("id").alias("learner_id"), "gender", any_of([F.col(c) for c in DISABILITY_WORDS]).alias("_disabled")
     )
     rows = (
-        t["dw.enrolment_fact"].filter(F.col("academic_year") >= FIRST_YEAR)
-        .select("learner_id", "school_id", "grade_id", "enrolment_type_id", "academic_year")
+        fact.select("learner_id", "school_id", "grade_id", "enrolment_type_id", "academic_year")
         .join(learners, "learner_id")
         .join(grades, "grade_id", "left")
         .join(types, "enrolment_type_id", "left")
@@ -91,14 +118,13 @@ def district_counts(t: Tables) -> DataFrame:
         F.count_if(F.col("_first") & F.col("_new")).alias("new_entrants_p1"),
         F.count_if("_disabled").alias("learners_with_disability"),
     )
-    schools = t["dw.schools_dim"].filter("is_current").select(
-        F.col("id").alias("school_id"), F.col("school_type").alias("school_level"),
-        F.col("admin_unit_id").alias("unit_dim_id"),
-    )
-    placed = per_school.join(schools, "school_id").join(climb(t["dw.admin_units_dim"]), "unit_dim_id")
+    placed = per_school.join(schools, "school_id")
+    if groups is not None:
+        # A school in several districts may have changed one of them only.
+        placed = placed.join(groups, ENROLMENT_KEY[:3], "left_semi")
     zero = F.lit(0).cast("bigint")
     counted = placed.groupBy(
-        F.col("district_dim_id").alias("district_id"), "district_name", "school_level", "academic_year", "gender"
+        "district_id", "district_name", "school_level", "academic_year", "gender"
     ).agg(*[F.sum(c).alias(c) for c in ("total_enrolment", "new_entrants_p1", "learners_with_disability")])
     return counted.withColumns(
         {c: zero for c in ("official_age_enrolment", "new_entrants_p1_official_age", "repeaters")}
@@ -117,11 +143,11 @@ def school_age_band(level: Column, population: str = "") -> Column:
     )
 
 
-def enrolment_indicators(t: Tables) -> DataFrame:
-    """Counts per gender and in total, their population denominators, and the rates."""
+def enrolment_indicators(t: Tables, groups: DataFrame | None = None) -> DataFrame:
+    """Counts per gender and in total, their population denominators, and the rates; with ``groups`` of these alone."""
     keys = ["district_id", "district_name", "school_level", "academic_year"]
     known = gender_in(F.col("gender"), MALE + FEMALE)
-    counted = with_totals(district_counts(t), keys, COUNTS, "gender", "TOTAL", known)
+    counted = with_totals(district_counts(t, groups), keys, COUNTS, "gender", "TOTAL", known)
     sex = (
         F.when(gender_in(F.col("gender"), MALE), "M")
         .when(gender_in(F.col("gender"), FEMALE), "F")
@@ -191,6 +217,25 @@ def enrolment_indicator_fact(t: Tables) -> DataFrame:
     return with_parity(loaded)
 
 
+def refreshed_groups(t: Tables, changed: DataFrame) -> DataFrame:
+    """The fact's rows of the groups that a batch of enrolment facts changes, as they are after it.
+
+    Groups are carried through counts, totals and parity, and only they are computed; the fact already holds the batch. A row whose
+    learners are all gone keeps its values, as in a full reload.
+    """
+    groups = cut_lineage(changed_groups(t, changed))
+    staged = {"stg.enrolment_indicator_raw": enrolment_indicators(t, groups)}
+    rows = enrolment_indicator_rows(ChainMap(staged, t))
+    old = t["dw.enrolment_indicator_fact"].join(groups, ENROLMENT_KEY[:3], "left_semi").select(t["dw.enrolment_indicator_fact"].columns)
+    return with_parity(upsert(old, rows, ENROLMENT_KEY, ENROLMENT_UPDATES))
+
+
+def load_changed_groups(t: Tables, changed: DataFrame, store: Warehouse) -> DataFrame:
+    """Refresh the stored indicators after a batch: only the years of changed groups get new files."""
+    rows = refreshed_groups(t, changed).withColumn("load_time", F.current_timestamp())
+    return store.load_upsert("dw.enrolment_indicator_fact", rows, ENROLMENT_KEY, [*ENROLMENT_UPDATES, "gpi_ger", "gpi_ner", "load_time"], "academic_year")
+
+
 def learner_counts(t: Tables) -> DataFrame:
     learners = t["dw.learner_dim"].filter("is_current").select(F.col("id").alias("learner_id"), "gender")
     rows = t["dw.enrolment_fact"].filter(F.col("academic_year") >= FIRST_YEAR).join(learners, "learner_id")
@@ -264,7 +309,3 @@ def school_indicator_rows(t: Tables) -> DataFrame:
         "qualified_teachers", "trained_teachers", "ptr", "qualified_teacher_ratio", "trained_teacher_ratio",
         "pct_female_teachers", "gpi_ptr",
     )
-
-
-def school_indicator_fact(t: Tables) -> DataFrame:
-    return upsert(t["dw.school_indicator_fact"], school_indicator_rows(t), SCHOOL_KEY, SCHOOL_UPDATES)

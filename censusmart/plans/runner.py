@@ -222,32 +222,44 @@ def run_mart(
     """Run one mart's steps in order and then its checks; the first error stops it.
 
     Every step reads what earlier steps wrote, so no lineage grows across steps and a lost
-    executor costs at most the step at hand. Returns the row count per table. Audit rows (run,
-    steps, checks) are appended whether the run succeeds or not.
+    executor costs at most the step at hand. Returns the row count per table. The run's row says RUNNING until
+    the run ends; step and check rows are appended whether it succeeds or not. A step's rows are those
+    it wrote or changed, observed during the write: inserted and expired versions, the rows of an upsert's batch.
     """
     prepare(spark, warehouse)
     space = Workspace(sources, warehouse)
     started, counts, steps, error = _now(), {}, [], None
+    _log_run(spark, warehouse, (run_id, name, as_of, started, None, "RUNNING", None, None))
     try:
         for step in MARTS[name]:
             began, clock = _now(), time.monotonic()
             rows = _write(space, step, as_of, rerun).count()
             counts[step.table] = rows
-            steps.append((run_id * 1000 + len(steps), run_id, step.table, began, _now(), "SUCCESS", rows, None))
+            done = warehouse.affected[step.table]
+            changed = done["inserted"] + done["expired"] if step.versioned else done["rows"]
+            steps.append((run_id * 1000 + len(steps), run_id, step.table, began, _now(), "SUCCESS", changed, json.dumps(done)))
             log.info("%s %s: %d rows in %.1fs", name, step.table, rows, time.monotonic() - clock)
         for suite in MART_SUITES[name]:
             _check(space, suite, as_of, run_id, raise_failed=name in STRICT)
     except Exception as failure:
         error = str(failure)
+        if len(counts) < len(MARTS[name]):
+            failed = MARTS[name][len(counts)].table
+            steps.append((run_id * 1000 + len(steps), run_id, failed, began, _now(), "FAILED", None, error))
         raise
     finally:
         status = "FAILED" if error else "SUCCESS"
-        run = (run_id, name, as_of, started, _now(), status, json.dumps(counts), error)
-        _audit(spark, warehouse, "dw_audit.etl_run", [run])
+        _log_run(spark, warehouse, (run_id, name, as_of, started, _now(), status, json.dumps(counts), error))
         _audit(spark, warehouse, "dw_audit.etl_step_log", steps)
     return counts
 
 
+def _log_run(spark: SparkSession, warehouse: Warehouse, row: tuple) -> None:
+    """Write or update the run's one row; the table has a row per run and is replaced as a whole."""
+    declared = schema("dw_audit.etl_run")
+    warehouse.load_upsert("dw_audit.etl_run", spark.createDataFrame([row], declared).coalesce(1), ["run_id"], declared.names[1:])
+
+
 def _audit(spark: SparkSession, warehouse: Warehouse, table: str, rows: list[tuple]) -> None:
     if rows:
         warehouse.append(table, spark.createDataFrame(rows, schema(table)).coalesce(1))

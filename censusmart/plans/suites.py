@@ -76,11 +76,11 @@ def enrolment(t: Tables, as_of: date) -> Suite:
     dim, fact = t["dw.learner_dim"], t["dw.enrolment_fact"]
     live = dim.filter("is_current")
     s = Suite("ENROLMENT")
-    s.add("DQ-1: Fact orphaned learner_id", _fail("fact rows with unknown learner"), orphans, fact, "learner_id", dim)
-    s.add("DQ-2: Fact orphaned school_id", _fail("fact rows with unknown school"), orphans, fact, "school_id",
-          t["dw.schools_dim"])
-    s.add("DQ-3: Fact orphaned date_id", _fail("fact rows with unknown date"), orphans, fact, "date_id",
-          t["dw.date_dim"])
+    s.refer(fact, {
+        "DQ-1: Fact orphaned learner_id": ("learner_id", dim, _fail("fact rows with unknown learner")),
+        "DQ-2: Fact orphaned school_id": ("school_id", t["dw.schools_dim"], _fail("fact rows with unknown school")),
+        "DQ-3: Fact orphaned date_id": ("date_id", t["dw.date_dim"], _fail("fact rows with unknown date")),
+    })
     s.add("DQ-4: learner_dim duplicate current rows", _fail("learners with several current rows"), repeated, live,
           ["source_id"])
     s.scan(fact, {
@@ -99,11 +99,11 @@ def enrolment(t: Tables, as_of: date) -> Suite:
 def _people_mart(mart: str, dim, fact, flat, person: str, t: Tables, names: dict[str, str]) -> Suite:
     """The checks that the two staff marts share."""
     s = Suite(mart)
-    s.add(names["person"], _fail("fact rows with unknown person"), orphans, fact, person, dim)
-    s.add("DQ-2: Fact orphaned school_id", _fail("fact rows with unknown school"), orphans, fact, "school_id",
-          t["dw.schools_dim"])
-    s.add("DQ-3: Fact orphaned date_id", _fail("fact rows with unknown date"), orphans, fact, "date_id",
-          t["dw.date_dim"])
+    s.refer(fact, {
+        names["person"]: (person, dim, _fail("fact rows with unknown person")),
+        "DQ-2: Fact orphaned school_id": ("school_id", t["dw.schools_dim"], _fail("fact rows with unknown school")),
+        "DQ-3: Fact orphaned date_id": ("date_id", t["dw.date_dim"], _fail("fact rows with unknown date")),
+    })
     live = dim.filter("is_current")
     s.add(names["current"], _fail("persons with several current rows"), repeated, live, ["source_id"])
     s.add(names["unused"], _warning("current persons without fact row"), uncovered, live, ["id"], fact, [person])
@@ -149,9 +149,10 @@ def infrastructure(t: Tables, as_of: date) -> Suite:
             (F.col("structure_condition").isin("POOR", "DILAPIDATED"), _warn("structures in bad condition")),
         "infra_null_total_number": (F.col("total_number").isNull(), _warn("fact rows without number")),
     })
-    s.add("infra_unresolved_school", _fail("fact rows with unknown school"), orphans, fact, "school_id",
-          t["dw.schools_dim"])
-    s.add("infra_unresolved_type", _fail("fact rows with unknown type"), orphans, fact, "infra_type_id", types)
+    s.refer(fact, {
+        "infra_unresolved_school": ("school_id", t["dw.schools_dim"], _fail("fact rows with unknown school")),
+        "infra_unresolved_type": ("infra_type_id", types, _fail("fact rows with unknown type")),
+    })
     staged = t["stg.infrastructure_raw"].filter(
         F.col("school_id").isNotNull() & F.col("building_id").isNotNull() & F.col("academic_year").isNotNull()
     )
@@ -173,10 +174,10 @@ def subjects(t: Tables, as_of: date) -> Suite:
           Rule(bad="WARN", at_least=2, severity="WARNING", detail="subject levels"), distinct_values, dim,
           "subject_level")
     s.scan(fact, {"teaching_subject_fact_row_count": (F.lit(True), non_empty("fact rows"))})
-    s.add("teaching_subject_unresolved_teacher", _fail("fact rows with unknown teacher"), orphans, fact,
-          "teacher_id", t["dw.teacher_dim"])
-    s.add("teaching_subject_unresolved_school", _fail("fact rows with unknown school"), orphans, fact,
-          "school_id", t["dw.schools_dim"])
+    s.refer(fact, {
+        "teaching_subject_unresolved_teacher": ("teacher_id", t["dw.teacher_dim"], _fail("fact rows with unknown teacher")),
+        "teaching_subject_unresolved_school": ("school_id", t["dw.schools_dim"], _fail("fact rows with unknown school")),
+    })
     s.add("subjects_with_no_teachers", _warn("active subjects without teacher"), uncovered,
           dim.filter(is_true(F.col("is_active_yn"))), ["id"], fact, ["subject_id"])
     s.scan(t["stg.teaching_subject_flat"],

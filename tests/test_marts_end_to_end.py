@@ -1,12 +1,13 @@
 """All marts in order on derived sources, written to a warehouse folder, then reports and a rerun."""
 
+import json
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from censusmart.operators.keys import duplicates
-from censusmart.plans import runner
+from censusmart.plans import indicators, runner
 from censusmart.plans.schools import by_operational_status
 from censusmart.reports import DATASETS
 from censusmart.sources.warehouse import Warehouse
@@ -145,3 +146,53 @@ def test_upserted_facts_do_not_grow_on_a_rerun(loaded, spark):
     for mart, table in [("infrastructure", "dw.infrastructure_fact"), ("teacher_transfers", "dw.teacher_transfer_fact"),
                         ("teaching_subjects", "dw.teaching_subject_fact")]:
         assert runner.run_mart(spark, mart, sources, store, SECOND, run_id=30)[table] == counts[mart][table]
+
+
+def test_steps_tell_what_they_changed(loaded):
+    _, store, counts = loaded
+    steps = {s.step_name: s for s in store.read("dw_audit.etl_step_log").filter("run_id = 1").collect()}
+    assert steps["dw.schools_dim"].rows_affected == counts["schools"]["dw.schools_dim"]
+    assert json.loads(steps["dw.schools_dim"].message)["inserted"] == counts["schools"]["dw.schools_dim"]
+    later = {s.step_name: s for s in store.read("dw_audit.etl_step_log").filter("run_id = 22").collect()}
+    assert later["dw.schools_dim"].rows_affected == 2 and json.loads(later["dw.schools_dim"].message)["expired"] == 1
+    assert later["dw.admin_units_dim"].rows_affected == 0
+    failed = store.read("dw_audit.etl_step_log").filter("run_id = 90 and status = 'FAILED'").collect()
+    assert len(failed) == 1 and "already holds" in failed[0].message
+
+
+def test_a_run_says_running_until_it_ends(loaded, spark, monkeypatch):
+    sources, store, _ = loaded
+    seen = []
+
+    def watching(space, step, as_of, rerun):
+        seen.append(Warehouse(spark, store.root).read("dw_audit.etl_run").filter("run_id = 91").first().status)
+        raise RuntimeError("stopped here")
+
+    monkeypatch.setattr(runner, "_write", watching)
+    with pytest.raises(RuntimeError, match="stopped here"):
+        runner.run_mart(spark, "infrastructure", sources, store, SECOND, run_id=91)
+    runs = store.read("dw_audit.etl_run").filter("run_id = 91").collect()
+    assert seen == ["RUNNING"] and [(r.status, r.error_message) for r in runs] == [("FAILED", "stopped here")]
+
+
+def test_changed_groups_refresh_their_years_only(loaded, spark):
+    """One school's learners of one year arrive again: its groups equal a full computation, other years keep their files."""
+    sources, store, _ = loaded
+    space = runner.Workspace(sources, store)
+    fact = store.read("dw.enrolment_fact")
+    place = indicators.placed_schools(space).filter("school_level is not null").select("school_id")
+    one = fact.join(place, "school_id", "left_semi").filter("academic_year = 2025").orderBy("school_id", "id").select("school_id").first().school_id
+    batch = fact.filter((F.col("school_id") == one) & (F.col("academic_year") == 2025))
+    table, key = "dw.enrolment_indicator_fact", indicators.ENROLMENT_KEY
+    columns = [*key, "total_enrolment", "ger", "gpi_ger"]
+    full = {tuple(r) for r in store.read(table).select(columns).collect()}
+    before = store.read(table).filter("academic_year <> 2025").inputFiles()
+    stale = store.read(table).withColumn("total_enrolment", F.when(F.col("academic_year") == 2025, 0).otherwise(F.col("total_enrolment")))
+    store.load_upsert(table, stale.filter("academic_year = 2025 and school_level is not null"), key, ["total_enrolment"], "academic_year")
+    indicators.load_changed_groups(space, batch, store)
+    groups = {tuple(r) for r in indicators.changed_groups(space, batch).collect()}
+    after = {tuple(r) for r in store.read(table).select(columns).collect()}
+    own = {r for r in full if r[:3] in groups}
+    assert own and own <= after and {r for r in after if r[2] == 2025 and r[1] is not None and r[:3] not in groups and r[4] != 0} == set()
+    assert {r for r in after if r[2] != 2025} == {r for r in full if r[2] != 2025}
+    assert set(before) <= set(store.read(table).filter("academic_year <> 2025").inputFiles())

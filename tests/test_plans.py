@@ -106,3 +106,16 @@ def test_backward_join_shuffles_points_not_rows(spark, skewed):
     want = expected.filter(F.col("d") < day).agg(F.max("d")).first()[0]
     assert got.filter((F.col("k") == 7) & (F.col("d") == day)).select("prev").distinct().collect() in ([], [(want,)])
     assert got.count() == 60_000 and got.filter("k is null and prev is not null").count() == 0
+
+
+def test_reference_checks_of_a_suite_share_a_scan_and_a_join(spark):
+    """With broadcasting off: every fact is read once for all its references."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, "-1")
+    try:
+        plans = {name: plan_of(QUERIES[name](World(spark, SF))) for name in ("dq_enrolment", "dq_infrastructure")}
+    finally:
+        spark.conf.unset(limit)
+    counts = {name: (len(re.findall(r"Exchange (?:hash|Single)", plan)), plan.count("FileScan")) for name, plan in plans.items()}
+    assert counts["dq_enrolment"][0] < 24 and counts["dq_enrolment"][1] < 17
+    assert counts["dq_infrastructure"][0] < 22 and counts["dq_infrastructure"][1] < 13

@@ -141,3 +141,77 @@ def test_versions_keep_history_and_replace_current_rows(store, frame, rows, tmp_
         clash = frame(columns, (3, 1, "c", d[2], False), (1, 2, "x", date(2024, 4, 1), True))
         store.load_versions(table, clash, "is_current", date(2024, 4, 1))
     assert rows(store.read(table), "id") == [(1,), (2,), (3,), (9,)]
+
+
+def test_upsert_that_dies_before_the_switch_loses_nothing(store, frame, rows, monkeypatch):
+    store.load_upsert(TABLE, fact(frame, (1, 2023, "TERM 1", 5), (1, 2024, "TERM 1", 6)), KEY, ["total_teachers"], "academic_year")
+    change = fact(frame, (1, 2024, "TERM 1", 60), (2, 2025, "TERM 1", 8))
+    dying = Warehouse(store.spark, store.root)
+    point = dying._point
+
+    def fails(table, *args, **kwargs):
+        if table == TABLE:
+            raise OSError("lost")
+        point(table, *args, **kwargs)
+
+    monkeypatch.setattr(dying, "_point", fails)
+    with pytest.raises(OSError):
+        dying.load_upsert(TABLE, change, KEY, ["total_teachers"], "academic_year")
+    columns = ["school_source_id", "academic_year", "total_teachers"]
+    again = Warehouse(store.spark, store.root)
+    assert rows(again.read(TABLE), *columns) == [(1, 2023, 5), (1, 2024, 6)]
+    again.load_upsert(TABLE, change, KEY, ["total_teachers"], "academic_year")
+    assert rows(again.read(TABLE), *columns) == [(1, 2023, 5), (1, 2024, 60), (2, 2025, 8)]
+    assert again.affected[TABLE] == {"rows": 2}
+
+
+def test_partitions_without_a_value_are_upserted_too(store, frame, rows):
+    for teachers in (5, 7):
+        batch = fact(frame, (1, None, "TERM 1", teachers), (2, 2024, "TERM 1", teachers))
+        store.load_upsert(TABLE, batch, ["school_source_id"], ["total_teachers"], "academic_year")
+    assert rows(store.read(TABLE), "school_source_id", "academic_year", "total_teachers") == [(1, None, 7), (2, 2024, 7)]
+
+
+def test_a_second_writer_is_refused(store, frame):
+    store.refresh(TABLE, fact(frame, (1, 2023, "TERM 1", 5)))
+    late = Warehouse(store.spark, store.root)
+    assert late.read(TABLE).count() == 1
+    store.refresh(TABLE, fact(frame, (1, 2023, "TERM 1", 6)))
+    with pytest.raises(RuntimeError, match="another job"):
+        late.refresh(TABLE, fact(frame, (1, 2023, "TERM 1", 7)))
+    assert Warehouse(store.spark, store.root).read(TABLE).first().total_teachers == 6
+
+
+def test_reading_one_year_of_an_upserted_table_prunes_folders(store, frame):
+    for year in (2023, 2024, 2025):
+        store.load_upsert(TABLE, fact(frame, (1, year, "TERM 1", 5)), KEY, ["total_teachers"], "academic_year")
+    plan = store.read(TABLE).filter("academic_year = 2024")._jdf.queryExecution().optimizedPlan().toString()
+    assert store.read(TABLE).filter("academic_year = 2024").count() == 1 and plan.count("Relation") <= 3
+    assert len(store.read(TABLE).filter("academic_year = 2024").inputFiles()) <= 3
+
+
+def test_a_hot_partition_is_split_and_small_ones_are_merged(store, spark, tmp_path):
+    many = spark.range(0, 400_000, 1, 16).selectExpr(
+        "id AS school_source_id", "CAST(CASE WHEN id % 50 = 0 THEN 2020 + id % 4 ELSE 2024 END AS INT) AS academic_year",
+        "sha2(CAST(id AS STRING), 256) AS term", "CAST(id AS INT) AS total_teachers")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "4m")
+    try:
+        store.refresh(TABLE, many, ["academic_year"])
+    finally:
+        spark.conf.unset(size)
+    files_ = {year: sorted(p.stat().st_size for p in (tmp_path / "w").rglob(f"academic_year={year}/*.parquet")) for year in (2020, 2022, 2024)}
+    assert len(files_[2024]) > 2 and max(files_[2024]) < 0.6 * sum(files_[2024])
+    assert len(files_[2020]) + len(files_[2022]) <= len(files_[2024]) + 2 < 2 * 16
+    assert store.affected[TABLE] == {"rows": 400_000}
+
+
+def test_affected_versions_are_observed(store, frame):
+    columns = "id bigint, source_id bigint, name string, effective_date date, expiration_date date, is_current boolean"
+    first, second, end = date(2024, 1, 1), date(2024, 2, 1), date(9999, 12, 31)
+    table = "dw.schools_dim"
+    store.load_versions(table, frame(columns, (1, 1, "a", first, end, True), (2, 2, "b", first, end, True)), "is_current", first)
+    assert store.affected[table] == {"rows": 2, "inserted": 2, "expired": 0, "unchanged": 0}
+    merged = frame(columns, (1, 1, "a", first, date(2024, 1, 31), False), (3, 1, "c", second, end, True), (2, 2, "b", first, end, True))
+    store.load_versions(table, merged, "is_current", second)
+    assert store.affected[table] == {"rows": 3, "inserted": 1, "expired": 1, "unchanged": 1}

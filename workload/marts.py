@@ -611,6 +611,43 @@ def enrolment_indicator_upsert(t):
     return plain(fact.select("district_id", "school_level", "academic_year", "gender", "total_enrolment", "ger", "gpi_ger"))
 
 
+NEWEST_YEAR = "(SELECT max(academic_year) FROM {dw_enrolment_fact})"
+SAME_GROUP = "{0}.district_id = {1}.district_id AND {0}.school_level = {1}.school_level AND {0}.academic_year = {1}.academic_year"
+
+
+@query(BASE_COUNTS + f""",
+t AS (SELECT * FROM c UNION ALL SELECT district_id, district_name, school_level, academic_year, 'TOTAL', CAST(sum(total_enrolment) AS BIGINT), CAST(sum(new_entrants_p1) AS BIGINT), CAST(sum(learners_with_disability) AS BIGINT) FROM c
+  WHERE upper(gender) IN ('M', 'F', 'MALE', 'FEMALE') GROUP BY ALL),
+b AS (SELECT t.*, CASE WHEN school_level ILIKE '%PRE%PRIMARY%' THEN p.pop_age_3_5 WHEN school_level ILIKE '%PRIMARY%' AND school_level NOT ILIKE '%PRE%' THEN p.pop_age_6_12 WHEN school_level ILIKE '%SECONDARY%' THEN p.pop_age_13_16 + p.pop_age_17_18 END AS served
+  FROM t LEFT JOIN {{dw_population_fact}} p ON p.district_id = t.district_id AND p.year = t.academic_year
+  AND p.sex = CASE upper(t.gender) WHEN 'M' THEN 'M' WHEN 'MALE' THEN 'M' WHEN 'F' THEN 'F' WHEN 'FEMALE' THEN 'F' ELSE 'TOTAL' END),
+touched AS (SELECT DISTINCT r.district_id, v.school_type AS school_level, f.academic_year FROM {{dw_enrolment_fact}} f JOIN {{dw_schools_dim}} v ON v.id = f.school_id AND v.is_current JOIN reach r ON r.id = v.admin_unit_id
+  WHERE f.academic_year = {NEWEST_YEAR} AND v.school_type IS NOT NULL),
+n AS (SELECT b.*, CAST({pct('total_enrolment', 'served', 2)} AS DECIMAL(8,2)) AS new_ger, CAST({pct('learners_with_disability', 'total_enrolment', 2)} AS DECIMAL(8,2)) AS new_sne FROM b SEMI JOIN touched ON {SAME_GROUP.format('touched', 'b')}),
+o AS (SELECT * FROM {{dw_enrolment_indicator_fact}} WHERE school_level IS NOT NULL),
+m AS (SELECT coalesce(n.district_id, o.district_id) AS district_id, coalesce(n.school_level, o.school_level) AS school_level, coalesce(n.academic_year, o.academic_year) AS academic_year, coalesce(n.gender, o.gender) AS gender,
+  CASE WHEN n.gender IS NULL THEN o.total_enrolment ELSE n.total_enrolment END AS total_enrolment, CASE WHEN n.gender IS NULL THEN o.learners_with_disability ELSE n.learners_with_disability END AS learners_with_disability,
+  CASE WHEN n.gender IS NULL THEN o.repetition_rate ELSE 0 END AS repetition_rate, CASE WHEN n.gender IS NULL THEN o.ger ELSE n.new_ger END AS ger, n.new_sne AS sne_inclusion_rate, o.gpi_ger
+  FROM o FULL JOIN n ON {SAME_GROUP.format('o', 'n')} AND o.gender = n.gender),
+g AS (SELECT m.district_id, m.school_level, m.academic_year, bool_or(upper(gender) IN ('F', 'FEMALE')) AND bool_or(upper(gender) IN ('M', 'MALE')) AS complete,
+  max(CASE WHEN upper(gender) IN ('F', 'FEMALE') THEN coalesce(ger, -1) END) AS f_ger, max(CASE WHEN upper(gender) IN ('M', 'MALE') THEN coalesce(ger, -1) END) AS m_ger FROM m SEMI JOIN touched ON {SAME_GROUP.format('touched', 'm')} GROUP BY 1, 2, 3)
+SELECT m.district_id, m.school_level, m.academic_year, m.gender, m.total_enrolment, m.learners_with_disability, CAST(m.repetition_rate AS DOUBLE) AS repetition_rate, CAST(m.ger AS DOUBLE) AS ger, CAST(m.sne_inclusion_rate AS DOUBLE) AS sne_inclusion_rate,
+  CASE WHEN m.gender = 'TOTAL' AND g.complete THEN CASE WHEN g.m_ger > 0 THEN {pct('CAST(greatest(g.f_ger, 0) * 100 AS BIGINT)', 'CAST(g.m_ger * 100 AS BIGINT)', 4, 1)} END ELSE CAST(m.gpi_ger AS DOUBLE) END AS gpi_ger
+FROM m LEFT JOIN g ON {SAME_GROUP.format('g', 'm')}""")
+def enrolment_indicator_incremental(t):
+    """The newest year's enrolments arrive: their groups are refreshed on the existing fact, all other rows stay."""
+    world = type(t)(t.spark, t.sf_dir, **{k: v for k, v in t.items()})
+    typed = empty(t.spark, schema("dw.enrolment_indicator_fact")).drop("load_time")
+    fact = typed.unionByName(t["dw.enrolment_indicator_fact"].filter("school_level is not null"), allowMissingColumns=True)
+    world["dw.enrolment_indicator_fact"] = fact
+    newest = t["dw.enrolment_fact"].agg(F.max("academic_year").alias("academic_year"))
+    batch = t["dw.enrolment_fact"].join(newest, "academic_year", "left_semi")
+    after = indicators.refreshed_groups(world, batch)
+    kept = fact.join(indicators.changed_groups(world, batch), indicators.ENROLMENT_KEY[:3], "left_anti")
+    return plain(kept.unionByName(after.select(fact.columns)).select(
+        "district_id", "school_level", "academic_year", "gender", "total_enrolment", "learners_with_disability", "repetition_rate", "ger", "sne_inclusion_rate", "gpi_ger"))
+
+
 GENDERS = {"male": "('M', 'MALE')", "female": "('F', 'FEMALE')"}
 
 
