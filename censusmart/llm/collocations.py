@@ -5,9 +5,10 @@ pairs of a full tile are counted with one dense ``bincount``, those of the many
 tasks' counts. The frequent pairs are ranked and become ids themselves, and (pair, next word) is counted the same way; then (triple, next
 word). A phrase can be frequent only if the phrase without its last word and that word are, so nothing frequent is lost.
 
-Ids reach the texts in two ways. The most frequent ``HEAD`` keys, of bounded size in bytes, are broadcast. All frequent keys
-beyond them are joined: the places where a text has a key outside the head are shuffled by key, and the ids come back by row. Both give
-the same ids, however small the head is.
+Ids reach the texts in two ways. The most frequent ``HEAD`` words (of bounded size in bytes) and ``4 * HEAD`` pairs are broadcast. All
+frequent keys beyond them are joined: the places of such keys are shuffled by key, and the ids come back by row. A bitmap of
+``FILTER_BITS`` bits, of the same size whatever the input, spares keys that surely are not frequent the shuffle; others that it lets
+through find no partner. Both ways give the same ids, however small the head is.
 
 Defined cases: a null or empty text has no words; a null language is ``und``, the same as that text; repeated rows count each time; texts of
 any length are whole; an empty table gives no rows; other columns are not read. Equal scores are ordered by count, then phrase.
@@ -15,13 +16,15 @@ any length are whole; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from censusmart.llm.ranking import with_rank
@@ -34,6 +37,7 @@ TOP = 2000
 SCALE = 2_000_000
 HEAD = 1 << 18
 HEAD_BYTES = 64
+FILTER_BITS = 1 << 27
 SIDE_BITS = 10
 DENSE_PAIRS = 1 << 16
 CHUNK_PAIRS = 1 << 22
@@ -76,6 +80,30 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def _place(code: Column) -> Column:
+    """A code's bit in the filter; ``_places`` is the same in numpy."""
+    return code.bitwiseXOR(F.shiftright(code, 17)).bitwiseXOR(F.shiftright(code, 31)).bitwiseAND(F.lit(FILTER_BITS - 1))
+
+
+def _places(codes: np.ndarray) -> np.ndarray:
+    return (codes ^ (codes >> 17) ^ (codes >> 31)) & (FILTER_BITS - 1)
+
+
+def _filter(places: DataFrame) -> np.ndarray:
+    """One bit per value of a one-column frame of longs below FILTER_BITS, packed; at most FILTER_BITS / 8 bytes reach the driver."""
+    # A bitmap has 32768 bits, bit 0 of bitmap 1 stands for 1, and bits are numbered from the lowest in a byte.
+    value = F.col(places.columns[0]) + 1
+    maps = places.groupBy(F.bitmap_bucket_number(value).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in maps:
+        bits[(r["bucket"] - 1) * 4096:r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
+def _holds(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
 def _key(lang: str, word: bytes) -> bytes:
     """One key for a word of a language; its length in front keeps different pairs apart."""
     own = lang.encode()
@@ -86,30 +114,35 @@ def with_words(texts: DataFrame, vocabulary: DataFrame, head: int) -> DataFrame:
     """(row, words): the ids of each text's words in order, -1 where a piece ends or a word is not frequent."""
     first = vocabulary.where((F.col("id") < head) & (F.octet_length("word") <= HEAD_BYTES)).select("lang", "word", "id").collect()
     tail = vocabulary.where((F.col("id") >= head) | (F.octet_length("word") > HEAD_BYTES))
+    keyed = tail.select(F.concat(F.octet_length("lang").cast("string"), F.lit(":"), "lang", "word").alias("key"), "id")
     any_tail = not tail.isEmpty()
     ids: dict[str, dict[bytes, int]] = {}
     for r in first:
         ids.setdefault(r["lang"], {})[r["word"].encode()] = r["id"]
-    shared = texts.sparkSession.sparkContext.broadcast(ids)
+    bits = _filter(keyed.select(F.crc32(F.col("key").cast("binary")).bitwiseAND(F.lit(FILTER_BITS - 1)))) if any_tail else None
+    shared = texts.sparkSession.sparkContext.broadcast((ids, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             words, places, keys = [], [], []
             for lang, text in zip(batch.column(1).to_pylist(), batch.column(2)):
-                known, tokens = shared.value.get(lang, {}), tokens_of(text.as_py())
+                known, tokens = shared.value[0].get(lang, {}), tokens_of(text.as_py())
                 tokens.append(b".")
                 own = np.fromiter((known.get(t, -1) for t in tokens), np.int32, len(tokens))
                 words.append(own)
                 at = [i for i in np.flatnonzero(own < 0).tolist() if tokens[i] != b"."] if any_tail else []
+                asked = [_key(lang, tokens[i]) for i in at]
+                if at:
+                    kept = _holds(shared.value[1], np.fromiter(map(zlib.crc32, asked), np.int64, len(asked)) & (FILTER_BITS - 1)).tolist()
+                    at, asked = list(compress(at, kept)), list(compress(asked, kept))
                 places.append(at)
-                keys.append([_key(lang, tokens[i]).decode() for i in at])
+                keys.append([k.decode() for k in asked])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int32())),
                                               pa.array(keys, pa.list_(pa.string()))], names=["row", "words", "places", "keys"])
 
     found = texts.select("row", "lang", "text").mapInArrow(run, "row long, words array<int>, places array<int>, keys array<string>")
     if not any_tail:
         return saved(found.select("row", "words"), "words")
-    keyed = tail.select(F.concat(F.octet_length("lang").cast("string"), F.lit(":"), "lang", "word").alias("key"), "id")
     return saved(_with_tail(saved(found, "places"), keyed, "words", "int").select("row", "words"), "words")
 
 
@@ -215,10 +248,11 @@ def with_items(sequences: DataFrame, frequent: DataFrame, size: int, head: int)
     first = frequent.where(F.col("id") < head).select("code", "id").orderBy("code").toPandas()
     tail = frequent.where(F.col("id") >= head)
     any_tail = not tail.isEmpty()
-    shared = sequences.sparkSession.sparkContext.broadcast((first["code"].to_numpy(np.int64), first["id"].to_numpy(np.int64)))
+    bits = _filter(tail.select(_place(F.col("code")))) if any_tail else None
+    shared = sequences.sparkSession.sparkContext.broadcast((first["code"].to_numpy(np.int64), first["id"].to_numpy(np.int64), bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, ids = shared.value
+        codes, ids, bits = shared.value
         for batch in _slices(batches):
             at, items, words = _codes(batch, size)
             own = (items << WORD_BITS) | words
@@ -229,7 +263,7 @@ def with_items(sequences: DataFrame, frequent: DataFrame, size: int, head: int)
             offsets = np.concatenate([[0], np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))])
             values = np.full(offsets[-1], -1, np.int64)
             values[at] = found
-            rest = found < 0 if any_tail else np.zeros(len(at), bool)
+            rest = (found < 0) & _holds(bits, _places(own)) if any_tail else np.zeros(len(at), bool)
             rest_at, rest_codes = at[rest], own[rest]
             cuts = np.searchsorted(rest_at, offsets)
             texts = np.repeat(np.arange(batch.num_rows), np.diff(cuts))
@@ -266,7 +300,7 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", mi
             "lang", F.concat("words", F.array("last")).alias("words"), F.col("_n").alias("a"), F.concat_ws(" ", "phrase", "next").alias("phrase"),
             F.col("_id").alias("id")), "phrases"))
         if size + 1 < max_words:
-            sequences = with_items(sequences, frequent, size, head)
+            sequences = with_items(sequences, frequent, size, 4 * head)
     return reduce(DataFrame.unionByName, (level.drop("id") for level in levels)), totals
 
 
