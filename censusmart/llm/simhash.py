@@ -128,8 +128,13 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
     rows = saved(with_fingerprints(docs, text, [F.col(doc_id).alias("doc_id"), hashes[0].alias("h1"), hashes[1].alias("h2")], shingle), "fingerprints")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("least")
     rooted = fingerprint_roots(saved(rows.groupBy("fp").agg(least), "distinct"))
-    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(*[F.col(f"least.{c}").alias(unused(f"_stay_{c}", docs.columns)) for c in ("doc_id", "h1", "h2")])
-    stay_id, stay_h1, stay_h2 = (F.col(c) for c in stay.columns)
-    found = hashed.join(stay, (F.col(names[0]) == stay_h1) & (F.col(names[1]) == stay_h2) & F.col(doc_id).eqNullSafe(stay_id))
-    # Rows equal in id and text meet in one component and one pair of hashes; the aggregation leaves one, inside the tasks first.
-    return found.dropDuplicates([stay.columns[1], stay.columns[2]]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.h1", "least.h2")
+    same = F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("h1") == F.col("other_h1")) & (F.col("h2") == F.col("other_h2"))
+    repeated = rows.groupBy(*[F.col(c).alias(n) for c, n in (("doc_id", "other_id"), ("h1", "other_h1"), ("h2", "other_h2"))]).count().where("count > 1")
+    marked = stay.join(repeated, same, "left").select(*[F.col(c).alias(unused(f"_stay_{c}", docs.columns)) for c in ("doc_id", "h1", "h2")],
+                                                      F.col("count").isNotNull().alias(unused("_stay_many", docs.columns)))
+    stay_id, stay_h1, stay_h2, many = (F.col(c) for c in marked.columns)
+    found = hashed.join(saved(marked, "stay"), (F.col(names[0]) == stay_h1) & (F.col(names[1]) == stay_h2) & F.col(doc_id).eqNullSafe(stay_id))
+    # Only rows that occur again, equal in id and text, meet by their hashes: one of them stays. No other text is shuffled for that.
+    once = found.where(many).dropDuplicates([marked.columns[1], marked.columns[2]])
+    return found.where(~many).unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
