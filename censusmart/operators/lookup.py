@@ -39,17 +39,17 @@ def first_available(
     """The lookup value of the first id column that resolves.
 
     The lookup is reduced to one value per key first (the lowest, or the one of the lowest
-    ``age``), so the result keeps one row per input row.
+    ``age``), so the result keeps one row per input row. The different id tuples send out their ids
+    with the turn of each; these meet the lookup in a single join, NULL ids not at all, and the
+    earliest turn that resolves goes back to the rows.
     """
     rank = F.struct(*([F.col(age)] if age else []), F.col(value).alias("v"))
-    one = table.groupBy(F.col(key).alias("_k")).agg(F.min(rank)["v"].alias("_v"))
-    out, found = df, []
-    for i, column in enumerate(ids):
-        side = one.select(F.col("_k").alias(f"_k{i}"), F.col("_v").alias(f"_v{i}"))
-        out = out.join(side, F.col(column) == F.col(f"_k{i}"), "left")
-        found.append(F.col(f"_v{i}"))
-    extra = [f"_{p}{i}" for p in "kv" for i in range(len(ids))]
-    return out.withColumn(name, F.coalesce(*found)).drop(*extra)
+    one = table.groupBy(F.col(key).alias("_k")).agg(F.min(rank)["v"].alias("_v")).filter("_v is not null")
+    asked = F.when(F.coalesce(*[F.col(c) for c in ids]).isNotNull(), F.array(*[F.col(c).cast("bigint") for c in ids]))
+    tuples = df.select(asked.alias("_ids")).dropna().distinct()
+    turns = tuples.select("_ids", F.posexplode("_ids").alias("_turn", "_id")).dropna(subset=["_id"])
+    found = turns.join(one, F.col("_id") == F.col("_k")).groupBy("_ids").agg(F.min_by("_v", "_turn").alias(name))
+    return df.withColumn("_asked", asked).join(found, F.col("_asked") == F.col("_ids"), "left").drop("_asked", "_ids")
 
 
 def expand_periods(

@@ -234,6 +234,40 @@ def reconcile(staged: DataFrame, fact: DataFrame, keys: Mapping[str, str]) -> Da
     )
 
 
+def differences(
+    staged: DataFrame, fact: DataFrame, keys: Mapping[str, str], columns: Mapping[str, str], partition: str, buckets: int = 1024,
+) -> DataFrame:
+    """Keys whose rows differ between two tables, with ``difference`` missing (from the fact), extra or changed.
+
+    ``keys`` and ``columns`` name what is compared (``{staged: fact}``); ``partition`` is one of the keys. Both tables are
+    first reduced to signed sums of row hashes by partition and bucket of the key, which do not depend on any order; only
+    buckets whose sums differ are compared key by key, and of the fact only their partitions are read again. Equal
+    rows that repeat a different number of times count as changed.
+    """
+    types = {f.name: f.dataType for f in staged.schema.fields}
+    pairs = {**keys, **columns}
+
+    def values(names: Mapping[str, str]) -> list[Column]:
+        """The columns and which of them are NULL, as a hash passes over NULLs."""
+        return [c for n in names for c in (F.col(n), F.col(n).isNull())]
+
+    def signed(df: DataFrame, names: Mapping[str, str], sign: int) -> DataFrame:
+        # Equal values of different types have different hashes.
+        same = df.select(*[F.col(source).cast(types[n]).alias(n) for n, source in names.items()])
+        return same.select(*keys, F.pmod(F.xxhash64(*values(keys)), F.lit(buckets)).alias("_bucket"),
+                           (F.xxhash64(*values(names)).cast("decimal(20,0)") * sign).alias("_row"), F.lit(sign).alias("_sign"))
+
+    both = signed(staged, {n: n for n in pairs}, 1).unionByName(signed(fact, pairs, -1))
+    unequal = (F.sum("_row") != 0) | (F.sum("_sign") != 0)
+    leaves = both.groupBy(F.col(partition).alias("_part"), F.col("_bucket").alias("_leaf")).agg(unequal.alias("_unequal")).filter("_unequal")
+    rest = both.join(leaves, F.col(partition).eqNullSafe(F.col("_part")) & (F.col("_bucket") == F.col("_leaf")), "left_semi")
+    counted = rest.groupBy(*keys).agg(
+        F.count_if(F.col("_sign") > 0).alias("_staged"), F.count_if(F.col("_sign") < 0).alias("_loaded"), unequal.alias("_unequal")
+    )
+    kind = F.when(F.col("_loaded") == 0, "missing").when(F.col("_staged") == 0, "extra").otherwise("changed")
+    return counted.filter("_unequal").select(*keys, kind.alias("difference"))
+
+
 class Suite:
     """Checks of one mart, collected check by check and run as one plan."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from censusmart.functions.labels import FEMALE, MALE, any_of, gender_in, matches_any
 from censusmart.functions.numbers import age_bands, is_false, rate_when, ratio
 from censusmart.operators.asof import earliest_version
-from censusmart.operators.hierarchy import climb
+from censusmart.operators.hierarchy import reach
 from censusmart.operators.lookup import lookup
 from censusmart.operators.shape import parity, with_totals
 from censusmart.operators.upsert import upsert
@@ -73,7 +73,7 @@ def placed_schools(t: Tables) -> DataFrame:
         F.col("id").alias("school_id"), F.col("school_type").alias("school_level"),
         F.col("admin_unit_id").alias("unit_dim_id"),
     )
-    return schools.join(climb(t["dw.admin_units_dim"]), "unit_dim_id").withColumnRenamed("district_dim_id", "district_id")
+    return schools.join(reach(t["dw.unit_ancestor"]), "unit_dim_id").withColumnRenamed("district_dim_id", "district_id")
 
 
 def changed_groups(t: Tables, changed: DataFrame) -> DataFrame:
@@ -269,7 +269,7 @@ def school_indicators(t: Tables) -> DataFrame:
     schools = t["dw.schools_dim"].filter("is_current").select(
         F.col("source_id").alias("_school"), F.col("name").alias("school_name"), "school_type", "admin_unit_id"
     )
-    districts = climb(t["dw.admin_units_dim"]).groupBy("unit_dim_id").agg(
+    districts = reach(t["dw.unit_ancestor"]).groupBy("unit_dim_id").agg(
         F.min("district_dim_id").alias("district_dim_id")
     )
     placed = (

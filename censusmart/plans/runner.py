@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from censusmart.functions.calendar import calendar_dim
-from censusmart.operators.hierarchy import district_map
+from censusmart.operators.hierarchy import district_map, reach
 from censusmart.operators.quality import raise_on_failure
 from censusmart.operators.scd2 import require_later
 from censusmart.plans import (
@@ -81,7 +81,7 @@ def _dimension(table: str, build, current: str = "is_current") -> Step:
 
 
 def _map(t: Tables) -> DataFrame:
-    return district_map(t["dw.schools_dim"], t["dw.admin_units_dim"])
+    return district_map(t["dw.schools_dim"], reach(t["dw.unit_ancestor"]))
 
 
 # Units are versioned before the schools that point at them; population is loaded before the
@@ -92,6 +92,7 @@ MARTS: dict[str, list[Step]] = {
         Step("stg.school_location_details_raw", _plain(schools.extract_locations)),
         Step("stg.admin_units_raw", _plain(schools.extract_admin_units)),
         _dimension("dw.admin_units_dim", schools.merge_admin_units, "current_status"),
+        Step("dw.unit_ancestor", _plain(schools.unit_ancestors)),
         Step("stg.schools_flat", schools.flatten_schools),
         _dimension("dw.schools_dim", schools.merge_schools),
         _dimension("dw.school_location_details_dim", schools.merge_locations),

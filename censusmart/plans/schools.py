@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from censusmart.functions.labels import (
     INSTITUTION_RESIDENCE, SCHOOL_RESIDENCE, cut, ownership, residence, sex_composition,
 )
+from censusmart.operators.hierarchy import refreshed_ancestors
 from censusmart.operators.keys import unique_or_null
 from censusmart.operators.lookup import decode_ids, first_available, lookup
 from censusmart.operators.scd2 import Versioned, scd2_merge
@@ -178,6 +179,11 @@ def merge_admin_units(t: Tables, as_of: date) -> DataFrame:
     return scd2_merge(t["dw.admin_units_dim"], staged, ADMIN_UNITS, as_of)
 
 
+def unit_ancestors(t: Tables) -> DataFrame:
+    """Every current unit with all units above it; unchanged units keep their rows."""
+    return refreshed_ancestors(t["dw.unit_ancestor"], t["dw.admin_units_dim"])
+
+
 def merge_locations(t: Tables, as_of: date) -> DataFrame:
     """Versions of the school addresses, from the current row of each school."""
     live = t["stg.school_location_details_raw"].filter("is_current")

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from censusmart.functions.numbers import is_true
-from censusmart.operators.hierarchy import climb, several_districts
+from censusmart.operators.hierarchy import above_themselves, reach, several_districts
 from censusmart.operators.quality import (
     Rule, Suite, VarianceRule, distinct_values, gaps, informative, non_empty, none_allowed, orphans, repeated,
     rows, uncovered, variance,
@@ -250,13 +250,14 @@ def supplementary(t: Tables, as_of: date) -> Suite:
     hierarchy drop out of the district indicators; facts that point at expired versions drop out
     of all indicators; and a year joined from two numbers lies outside any calendar.
     """
-    units, dim = t["dw.admin_units_dim"], t["dw.schools_dim"].filter("is_current")
-    reach = climb(units)
+    ancestry, dim = t["dw.unit_ancestor"], t["dw.schools_dim"].filter("is_current")
+    reached = reach(ancestry)
     year = F.col("academic_year")
     s = Suite("SUPPLEMENTARY")
-    s.add("units_with_several_districts", _warn("units in several districts"), rows, several_districts(units))
+    s.add("units_with_several_districts", _warn("units in several districts"), rows, several_districts(reached))
+    s.add("units_above_themselves", _warn("units in a cycle of the hierarchy"), rows, above_themselves(ancestry))
     s.add("schools_without_district", _warn("current schools outside the hierarchy"), uncovered, dim,
-          ["admin_unit_id"], reach, ["unit_dim_id"])
+          ["admin_unit_id"], reached, ["unit_dim_id"])
     s.add("enrolments_of_expired_learners", _warn("enrolments of expired learner versions"), orphans,
           t["dw.enrolment_fact"], "learner_id", t["dw.learner_dim"].filter("is_current"))
     s.add("hr_rows_of_expired_teachers", _warn("HR rows of expired teacher versions"), orphans,

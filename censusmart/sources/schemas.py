@@ -316,6 +316,8 @@ DDL["dw_audit.dq_check_log"] += """,
 # join the whole source table again.
 DDL["stg.enrolments_raw"] += ", enrolment_type_id BIGINT"
 DDL["stg.learners_raw"] += ", is_father_dead BOOLEAN, is_mother_dead BOOLEAN"
+DDL["dw.unit_ancestor"] = (
+    "unit_dim_id BIGINT, unit_type STRING, ancestor_dim_id BIGINT, ancestor_name STRING, ancestor_type STRING, above BIGINT, depth INT")
 DDL["dw.school_district_map"] = "school_dim_id BIGINT, district_id BIGINT, district_name STRING"
 
 

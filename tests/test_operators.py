@@ -188,13 +188,41 @@ def test_climb(frame, rows):
     assert sorted(got) == sorted([
         (1, "D1"), (2, "D2"), (3, "D1"), (8, "D2"), (9, "D2"), (13, "D2"),
         (4, "D1"), (4, "D2"), (7, "D1"), (7, "D2"), (5, "D1"), (5, "D2"), (6, "D1"), (6, "D2")])
-    assert rows(hierarchy.several_districts(units), "unit_dim_id") == [(4,), (5,), (6,), (7,)]
+    assert rows(hierarchy.several_districts(hierarchy.climb(units)), "unit_dim_id") == [(4,), (5,), (6,), (7,)]
+    assert sorted(rows(hierarchy.reach(hierarchy.ancestors(units)), "unit_dim_id", "district_name")) == sorted(got)
+
+
+def test_ancestors_are_refreshed_for_changed_units_only(frame, rows):
+    old = [(1, 1, None, "District", "D1", True), (2, 2, None, "District", "D2", True), (3, 10, 1, "County", "C", True),
+           (4, 20, 10, "Sub County", "S", True), (5, 30, 20, "Parish", "P", True), (6, 11, 2, "City", "Ci", True), (7, 21, 12, "Sub County", "lost", True)]
+    stored = hierarchy.ancestors(frame(UNITS, *old))
+    assert rows(stored.filter("unit_dim_id = 5"), "ancestor_dim_id", "depth") == [(1, 3), (3, 2), (4, 1), (5, 0)]
+    # The county moves as a new version, a new city becomes the parent of the unit without one, one city goes.
+    new = [*old[:2], (3, 10, 1, "County", "C", False), (13, 10, 2, "County", "C", True), *old[3:5], (6, 11, 2, "City", "Ci", False), old[6],
+           (14, 12, 1, "City", "new", True)]
+    units = frame(UNITS, *new)
+    # A mark in the rows of an unchanged unit shows that they are kept.
+    marked = stored.withColumn("ancestor_name", F.when(F.col("unit_dim_id") == 2, "kept").otherwise(F.col("ancestor_name")))
+    got = hierarchy.refreshed_ancestors(marked, units)
+    assert rows(got.filter("unit_dim_id <> 2")) == rows(hierarchy.ancestors(units).filter("unit_dim_id <> 2"))
+    assert rows(got.filter("unit_dim_id = 2"), "ancestor_name") == [("kept",)]
+    assert rows(hierarchy.refreshed_ancestors(stored.limit(0), units)) == rows(hierarchy.ancestors(units))
+
+
+def test_cycles_of_units_are_found(frame, rows):
+    units = frame(UNITS, (1, 1, 2, "District", "a", True), (2, 2, 1, "County", "b", True), (3, 3, 1, "County", "c", True), (4, 4, 4, "Parish", "d", True))
+    assert rows(hierarchy.above_themselves(hierarchy.ancestors(units))) == [(1,), (2,), (4,)]
 
 
 def test_first_available_prefers_order_then_lowest(frame, rows):
     df = frame("r int, a int, b int", (1, 5, 6), (2, 99, 6), (3, None, None))
     table = frame("key int, id int", (5, 52), (5, 51), (6, 60))
     assert rows(lookup.first_available(df, ["a", "b"], table, "found", "key", "id"), "r", "found") == [(1, 51), (2, 60), (3, None)]
+    # Ids that resolve to NULL pass their turn on; rows without any id, repeated rows and equal tuples stay as they are.
+    df = frame("r int, a int, b int", (1, 7, 6), (1, 7, 6), (2, None, None), (3, None, 5), (4, 6, None))
+    table = frame("key int, id int", (5, 52), (6, 60), (7, None), (None, 9))
+    got = rows(lookup.first_available(df, ["a", "b"], table, "found", "key", "id"))
+    assert got == [(1, 7, 6, 60), (1, 7, 6, 60), (2, None, None, None), (3, None, 5, 52), (4, 6, None, 60)]
 
 
 def test_expand_periods(frame, rows):
@@ -276,6 +304,20 @@ def test_reconcile(frame):
         "fact_total": 2, "staged_total": 3, "unresolved": 1}
 
 
+def test_differences_are_found_by_key(frame, rows):
+    schema = "year int, k int, a string, b double"
+    staged = frame(schema, (1, 1, "x", 1.0), (1, 2, None, 2.0), (2, 3, "z", None), (2, 4, "w", 4.0), (None, 5, "n", 5.0), (3, 6, "v", 6.0), (3, 6, "v", 6.0))
+    fact = frame("y bigint, id bigint, a string, b double", (1, 1, "x", 1.0), (1, 2, "2.0", None), (2, 3, "z", None), (2, 7, "w", 4.0), (None, 5, "n", 5.5), (3, 6, "v", 6.0))
+    got = quality.differences(staged, fact, {"year": "y", "k": "id"}, {"a": "a", "b": "b"}, "year", buckets=2)
+    assert rows(got, "k", "difference") == [(2, "changed"), (4, "missing"), (5, "changed"), (6, "changed"), (7, "extra")]
+    assert quality.differences(staged, staged, {"year": "year", "k": "k"}, {"a": "a", "b": "b"}, "year").count() == 0
+    assert quality.differences(staged, fact.limit(0), {"year": "y", "k": "id"}, {}, "year").count() == 6
+    # Values that two keys exchange leave all counts and column sums as they were.
+    swapped = frame(schema, (1, 1, None, 2.0), (1, 2, "x", 1.0))
+    got = quality.differences(staged.filter("year = 1"), swapped, {"year": "year", "k": "k"}, {"a": "a", "b": "b"}, "year")
+    assert rows(got, "k", "difference") == [(1, "changed"), (2, "changed")]
+
+
 # ----------------------------------------------------------------------------- watermarks
 
 def test_watermark(frame):

@@ -180,6 +180,9 @@ def expired(fact: str, column: str, dim: str) -> str:
 
 EXPECTED["supplementary"] = ("SUPPLEMENTARY", {
     "units_with_several_districts": none(f"(SELECT count(*) FROM (SELECT id FROM {REACH} AS r GROUP BY id HAVING count(DISTINCT top_id) > 1) AS g)", WARN),
+    "units_above_themselves": none("""(SELECT count(DISTINCT a.id) FROM {dw_admin_units_dim} a JOIN {dw_admin_units_dim} b ON b.source_id = a.child_id AND b.current_status
+      LEFT JOIN {dw_admin_units_dim} c ON c.source_id = b.child_id AND c.current_status LEFT JOIN {dw_admin_units_dim} d ON d.source_id = c.child_id AND d.current_status
+      WHERE a.current_status AND (a.id = b.id OR a.id = c.id OR a.id = d.id))""", WARN),
     "schools_without_district": none(n(live(V), f"admin_unit_id NOT IN (SELECT id FROM {REACH} AS r)"), WARN),
     "enrolments_of_expired_learners": none(expired("dw_enrolment_fact", "learner_id", "dw_learner_dim"), WARN),
     "hr_rows_of_expired_teachers": none(expired("dw_hr_fact", "teacher_id", "dw_teacher_dim"), WARN),

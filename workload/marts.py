@@ -710,3 +710,20 @@ def enrolment_reconcile(t):
     lost = quality.reconcile(t["stg.enrolments_flat"].filter("is_active"), fact.filter("grade_id > 3"), names).select("staged_total", "unresolved")
     return fact.agg(F.count(F.lit(1)).alias("fact_total")).withColumn("staged_total", lost.select("staged_total").scalar()).withColumn(
         "unresolved", lost.select("unresolved").scalar())
+
+
+# A load that lost some rows, holds some that were taken back since, and has other values in some; the row counts alone cannot tell.
+CHANGED_LOAD = """WITH staged AS (SELECT * FROM {dw_enrolment_fact} WHERE learner_source_id % 83 <> 0),
+loaded AS (SELECT * REPLACE (CASE WHEN learner_source_id % 97 = 0 THEN NULL ELSE grade_id END AS grade_id) FROM {dw_enrolment_fact} WHERE learner_source_id % 89 <> 0)
+"""
+
+
+@query(CHANGED_LOAD + """, s AS (SELECT learner_source_id, school_source_id, academic_year, term, grade_id, enrolment_type_id, count(*) FROM staged GROUP BY ALL),
+l AS (SELECT learner_source_id, school_source_id, academic_year, term, grade_id, enrolment_type_id, count(*) FROM loaded GROUP BY ALL),
+k AS (SELECT DISTINCT learner_source_id, school_source_id, academic_year, term FROM ((FROM s EXCEPT FROM l) UNION ALL (FROM l EXCEPT FROM s)) AS d)
+SELECT k.*, CASE WHEN learner_source_id % 89 = 0 THEN 'missing' WHEN learner_source_id % 83 = 0 THEN 'extra' ELSE 'changed' END AS difference FROM k""")
+def enrolment_differences(t):
+    fact, learner = t["dw.enrolment_fact"], F.col("learner_source_id")
+    loaded = fact.filter(learner % 89 != 0).withColumn("grade_id", F.when(learner % 97 != 0, F.col("grade_id")))
+    same = ["grade_id", "enrolment_type_id"]
+    return quality.differences(fact.filter(learner % 83 != 0), loaded, {k: k for k in enrolment.NATURAL_KEY}, {c: c for c in same}, "academic_year")

@@ -13,6 +13,7 @@ from censusmart.functions import numbers as num
 from censusmart.operators import asof, hierarchy, keys, lookup, quality, scd2, shape, upsert
 from censusmart.plans import runner
 from censusmart.reports.base import largest, smallest
+from censusmart.session import cut_lineage
 from censusmart.sources import files
 from censusmart.streaming.incremental import advance, incremental, last_success
 from workload.registry import pct, plain, query, stack
@@ -237,12 +238,42 @@ def hierarchy_rollup(w):
 
 @query(CLIMB_SQL + """SELECT v.id AS school_dim_id, r.district_id, r.name AS district_name FROM {dw_schools_dim} v JOIN reach r ON r.id = v.admin_unit_id""")
 def school_district_map(w):
-    return hierarchy.district_map(w["dw.schools_dim"], w["dw.admin_units_dim"])
+    return hierarchy.district_map(w["dw.schools_dim"], hierarchy.climb(w["dw.admin_units_dim"]))
 
 
 @query(CLIMB_SQL + "SELECT id AS unit_dim_id, count(DISTINCT district_id) AS districts FROM reach GROUP BY id HAVING count(DISTINCT district_id) > 1")
 def units_with_several_districts(w):
-    return hierarchy.several_districts(w["dw.admin_units_dim"])
+    return hierarchy.several_districts(hierarchy.climb(w["dw.admin_units_dim"]))
+
+
+ANCESTORS_SQL = """
+SELECT * FROM (WITH RECURSIVE u AS (%s), up(unit_dim_id, unit_type, ancestor_dim_id, ancestor_name, ancestor_type, above, depth) AS (
+  SELECT id, admin_unit_type, id, name, admin_unit_type, child_id, 0 FROM u
+  UNION ALL SELECT unit_dim_id, unit_type, u.id, u.name, u.admin_unit_type, u.child_id, depth + 1 FROM up JOIN u ON u.source_id = up.above WHERE depth < 3)
+SELECT * FROM up) AS t"""
+
+
+@query(ANCESTORS_SQL % "SELECT * FROM {dw_admin_units_dim} WHERE current_status")
+def unit_ancestors(w):
+    return hierarchy.ancestors(w["dw.admin_units_dim"])
+
+
+# Units after a change: a third of the counties move below another district, a tenth of the sub counties get a new version.
+MOVED_UNITS = """SELECT CASE WHEN admin_unit_type = 'Sub County' AND source_id % 10 = 1 THEN id + 5000000
+  WHEN admin_unit_type = 'County' AND source_id % 3 = 0 THEN id + 6000000 ELSE id END AS id,
+  CASE WHEN admin_unit_type = 'County' AND source_id % 3 = 0 THEN child_id + 1 ELSE child_id END AS child_id, source_id, name, admin_unit_type, current_status
+  FROM {dw_admin_units_dim} WHERE current_status"""
+
+
+@query(ANCESTORS_SQL % MOVED_UNITS)
+def unit_ancestors_refresh(w):
+    """The stored table before the change, refreshed for the units that changed and those below them."""
+    moved = (F.col("admin_unit_type") == "County") & (F.col("source_id") % 3 == 0)
+    renewed = (F.col("admin_unit_type") == "Sub County") & (F.col("source_id") % 10 == 1)
+    units = w["dw.admin_units_dim"].filter("current_status")
+    after = units.withColumn("child_id", F.when(moved, F.col("child_id") + 1).otherwise(F.col("child_id"))).withColumn(
+        "id", F.when(renewed, F.col("id") + 5000000).when(moved, F.col("id") + 6000000).otherwise(F.col("id")))
+    return hierarchy.refreshed_ancestors(cut_lineage(w["dw.unit_ancestor"]), cut_lineage(after))
 
 
 @query("""
