@@ -8,7 +8,8 @@ context, by a Zstandard compressor primed with common code and identifiers: (siz
 surroundings with a gap in its place), in bits per character. Words, paths and identifiers add little; random strings add
 nearly their entropy, and those with ``MIN_BITS`` or more are reported as kind novel.
 
-Spans are in code points, end exclusive. Defined cases: a null or empty text has no spans; matches of different
+Spans are in code points, end exclusive. The time grows in proportion to the text, whatever number of BEGIN lines, candidates and
+spans it holds; very long texts are scanned whole. Defined cases: a null or empty text has no spans; matches of different
 kinds may overlap, but a novel span never overlaps a base span; repeated rows give equal results; an empty table
 gives no rows. Columns other than id and text are not read.
 """
@@ -81,7 +82,7 @@ class Novelty:
 
 def contexts(text: str) -> list[tuple[int, int]]:
     """(start, end) of the stretches of whole lines around sensitive words, in order, without overlaps."""
-    found, line_end = [], -1
+    found, line_end, walked = [], -1, (0, -1)
     for word in _PREFILTER.finditer(text):
         if word.start() < line_end:
             continue
@@ -97,12 +98,24 @@ def contexts(text: str) -> list[tuple[int, int]]:
             if end < 0:
                 end = len(text)
                 break
-        while more := _TOKEN_LINE.match(text, end):
-            end = more.end()
+        # Lines of tokens that hold sensitive words themselves are walked over once.
+        if walked[0] <= end <= walked[1]:
+            end = walked[1]
+        else:
+            first = end
+            while more := _TOKEN_LINE.match(text, end):
+                end = more.end()
+            walked = (first, end)
         found.append((start + 1, end))
-    for begin in _KEY_BEGIN.finditer(text) if found else ():
-        if stop := _KEY_END.search(text, begin.end()):
-            found.append((begin.start(), stop.end()))
+    if found:
+        ends = list(_KEY_END.finditer(text))
+        at = 0
+        for begin in _KEY_BEGIN.finditer(text) if ends else ():
+            while at < len(ends) and ends[at].start() < begin.end():
+                at += 1
+            if at == len(ends):
+                break
+            found.append((begin.start(), ends[at].end()))
     merged = []
     for start, end in sorted(found):
         if merged and start <= merged[-1][1] + 1:
@@ -113,12 +126,17 @@ def contexts(text: str) -> list[tuple[int, int]]:
 
 
 def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty) -> list[tuple[int, int, str]]:
-    """Candidates around sensitive words that the primed compressor cannot predict."""
-    found = []
+    """Candidates around sensitive words that the primed compressor cannot predict. Contexts and base spans are walked together, in order."""
+    found, at, covered = [], 0, 0
     for start, end in contexts(text):
         for m in CANDIDATE.finditer(text, start, end):
+            # ``covered`` is the end of the base spans that start before the candidate ends; candidates do not overlap, so a
+            # base span that reaches beyond its start overlaps it.
+            while at < len(base) and base[at][0] < m.end():
+                covered = max(covered, base[at][1])
+                at += 1
             mixed = sum(c.search(m[0]) is not None for c in _CLASSES)
-            if mixed < 2 or any(a < m.end() and m.start() < b for a, b, _ in base):
+            if mixed < 2 or covered > m.start():
                 continue
             before = text[max(start, m.start() - SURROUNDING):m.start()]
             after = text[m.end():min(end, m.end() + SURROUNDING)]
