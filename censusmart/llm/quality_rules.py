@@ -1,8 +1,8 @@
 """Line-first cleaning: lines that break a rule go, documents that lose too much text are rejected.
 
 A line's rules look at its punctuation (symbols, exclamation marks, words in capitals), at repetition within it, at navigation
-(lines of menu words or with separators) and at boilerplate phrases: a line of up to ``MENU_LINE`` words goes with any phrase, a
-longer one if phrases and menu words cover ``COVERED`` of its words, so that prose that mentions a phrase stays. The document's own rules are its length
+(lines of menu words or with separators) and at boilerplate phrases: a line of any length goes if it holds a phrase, and phrases and
+menu words cover ``COVERED`` of its words, so that prose that mentions a phrase stays. The lists are in four languages. The document's own rules are its length
 in words and the share of words inside repeated eight-word windows.
 
 Defined cases: a null text has no words; an empty text or one of blanks is rejected as too short; a line without words is kept
@@ -34,22 +34,35 @@ MAX_SYMBOL_WORDS = 0.3
 MAX_SHOUTED = 0.5
 MAX_ECHOED = 0.3
 MENU_WORDS_SHARE = 0.6
-MENU_LINE = 12
 COVERED = 0.35
 
-# Words of menus, phrases of boilerplate.
-MENU = frozenset("home login logout register menu search next previous prev back top share print contact about help faq sitemap "
-                 "subscribe newsletter facebook twitter instagram more skip navigation".split())
-BOILERPLATE = re.compile(
-    r"all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy|cookie policy|"
-    r"(?:uses?|accept) (?:all )?cookies|enable javascript|copyright \d{4}|click here|lorem ipsum", re.IGNORECASE)
-LONG_BOILERPLATE = re.compile(
-    r"(?:©|\(c\)|copyright)(?: (?:©|\(c\)))? \d{4}(?: ?[-–] ?\d{4})?|licensed under the (?:\S+ ){1,4}?licen[sc]e(?:,? version [\d.]+)?|"
-    r"you may not use this (?:file|software|work)|except in compliance with the license|you may obtain a copy of the license|"
-    r"distributed on an .?as is.? basis|without warrant(?:y|ies)(?: or conditions)? of any kind|(?:software )?is provided .?as is|"
-    r"permission is hereby granted,? free of charge|(?:we|site|website) uses? (?:\w+ )?cookies|accept (?:all |our |the )*(?:use of )?cookies|"
-    r"by (?:continuing|using) (?:to (?:use|browse)|this|our)(?: (?:this|our|the))?(?: (?:web)?site)?|improve your (?:browsing )?experience|"
-    + BOILERPLATE.pattern, re.IGNORECASE)
+# Words of menus and phrases of boilerplate in English, French, German and Spanish, in small letters.
+MENU = frozenset(
+    "home login logout register menu search next previous prev back top share print contact about help faq sitemap subscribe newsletter "
+    "facebook twitter instagram more skip navigation "
+    "accueil connexion déconnexion inscription recherche rechercher suivant précédent retour haut partager imprimer aide abonnement "
+    "startseite anmelden abmelden registrieren menü suche suchen weiter zurück oben teilen drucken kontakt hilfe impressum datenschutz "
+    "inicio entrar salir registrarse menú buscar búsqueda siguiente anterior volver arriba compartir imprimir contacto ayuda suscribirse".split())
+PHRASES = (
+    r"all rights reserved", r"licensed under(?: the (?:\S+ ){1,4}?licen[sc]e(?:,? version [\d.]+)?)?", r"released under the", r"terms of (?:use|service)",
+    r"privacy policy", r"cookie policy", r"(?:we|site|website) uses? (?:\w+ )?cookies", r"accept (?:all |our |the )*(?:use of )?cookies",
+    r"uses? (?:all )?cookies", r"enable javascript", r"click here", r"lorem ipsum",
+    r"(?:©|\(c\)|copyright)(?: (?:©|\(c\)))? \d{4}(?: ?[-–] ?\d{4})?", r"you may not use this (?:file|software|work)",
+    r"except in compliance with the license", r"you may obtain a copy of the license", r"distributed on an .?as is.? basis",
+    r"without warrant(?:y|ies)(?: or conditions)? of any kind", r"(?:software )?is provided .?as is", r"permission is hereby granted,? free of charge",
+    r"by (?:continuing|using) (?:to (?:use|browse)|this|our)(?: (?:this|our|the))?(?: (?:web)?site)?", r"improve your (?:browsing )?experience",
+    r"tous droits réservés", r"politique de confidentialité", r"conditions (?:générales )?d['’]utilisation", r"mentions légales",
+    r"gestion des cookies", r"(?:ce site|nous) utilis(?:e|ons) des cookies", r"cliquez ici",
+    r"alle rechte vorbehalten", r"datenschutzerklärung", r"allgemeine geschäftsbedingungen", r"nutzungsbedingungen",
+    r"(?:diese (?:web)?seite|wir) verwende[nt] cookies", r"cookie-einstellungen", r"hier klicken|klicken sie hier",
+    r"todos los derechos reservados", r"política de (?:privacidad|cookies)", r"términos (?:y condiciones|de uso)", r"aviso legal",
+    r"(?:este sitio(?: web)?|nosotros) (?:utiliza|usa|utilizamos|usamos) cookies", r"haga clic aquí",
+)
+BOILERPLATE = re.compile("|".join(PHRASES))
+# Every phrase holds one of these, so that a text or line without any is not searched for the phrases.
+TRIGGERS = ("reserv", "réserv", "vorbehalten", "licen", "released", "terms", "términos", "policy", "politique", "política", "cookie", "javascript",
+            "click", "cliquez", "klicken", "clic", "lorem", "©", "(c)", "copyright", "not use this", "basis", "warrant", "as is",
+            "permission", "continuing", "using", "experience", "conditions", "mentions", "datenschutz", "bedingungen", "aviso")
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -57,8 +70,8 @@ _OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u2
 _SEPARATORS = re.compile(r"[|»›•·>]")
 
 
-def line_fails(line: str, words: list[str]) -> str | None:
-    """The rule that a line with these words breaks, or None."""
+def line_fails(line: str, words: list[str], suspect: bool = True) -> str | None:
+    """The rule that a line with these words breaks, or None; a line that is not ``suspect`` holds no boilerplate phrase."""
     n = len(words)
     if _SYMBOL.search(line) and sum(_SYMBOL.search(w) is not None for w in words) > MAX_SYMBOL_WORDS * n:
         return "symbols"
@@ -69,15 +82,23 @@ def line_fails(line: str, words: list[str]) -> str | None:
     menu = sum(w.strip(".,:;|»›•·>").lower() in MENU for w in words)
     if menu >= MENU_WORDS_SHARE * n or len(_SEPARATORS.findall(line)) >= max(2, n // 3):
         return "navigation"
-    if n <= MENU_LINE:
-        return "boilerplate" if BOILERPLATE.search(line) else None
-    left, phrases = LONG_BOILERPLATE.subn(" ", line)
-    if phrases:
-        rest = words_of(left)
-        plain = sum(any(map(str.isalnum, w)) and w.strip(".,:;|»›•·>").lower() not in MENU for w in rest)
-        if n - plain >= COVERED * n:
-            return "boilerplate"
-    return None
+    return "boilerplate" if suspect and covered_by_phrases(line, n) else None
+
+
+def triggered(lowered: str) -> bool:
+    return any(t in lowered for t in TRIGGERS)
+
+
+def covered_by_phrases(line: str, n: int) -> bool:
+    """Whether phrases and menu words make up ``COVERED`` of the line's ``n`` words."""
+    lowered = line.lower()
+    if not triggered(lowered):
+        return False
+    left, phrases = BOILERPLATE.subn(" ", lowered)
+    if not phrases:
+        return False
+    plain = sum(any(map(str.isalnum, w)) and w.strip(".,:;|»›•·>") not in MENU for w in words_of(left))
+    return n - plain >= COVERED * n
 
 
 def words_of(text: str) -> list[str]:
@@ -112,12 +133,13 @@ def judged(text: str | None) -> tuple:
     word_chars = len(text) - sum(map(text.count, _BLANKS))
     n_symbols = sum(map(text.count, SYMBOLS))
     seen, n_dup, stay, stay_chars = set(), 0, [], 0
+    suspect = triggered(text.lower())
     for line in text.split("\n"):
         own = words_of(line)
         if own:
             n_dup += line in seen
             seen.add(line)
-            if line_fails(line, own):
+            if line_fails(line, own, suspect):
                 continue
             stay_chars += sum(map(len, own))
         stay.append(line)
