@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from censusmart.functions.labels import certificate_level, or_label, yes_no
 from censusmart.functions.numbers import is_false, is_true, percent
+from censusmart.operators.distinct import distinct_counts, numbered
 from censusmart.plans.common import Tables
 from censusmart.reports.base import Dataset, district_of, largest, smallest
 
@@ -44,10 +45,13 @@ def pct_science(t: Tables) -> DataFrame:
 
 
 def by_attribute(column: str) -> Dataset:
+    """Teachers and subjects per attribute in one pass; teachers are numbered by their first subject."""
     def dataset(t: Tables) -> DataFrame:
-        counted = taught(t, column).groupBy(column).agg(
-            F.count_distinct("teacher_id").alias("total_teachers"),
-            F.count_distinct("subject_id").alias("total_subjects"),
+        subjects = numbered(t[DIM].select(F.col("id").alias("subject_id"), column), "subject_id", "_subject")
+        rows = numbered(t[FACT].select("teacher_id", "subject_id"), "teacher_id", "_teacher", near="subject_id")
+        counted = distinct_counts(
+            rows.join(subjects, "subject_id"), [column],
+            {"total_teachers": F.col("_teacher"), "total_subjects": F.col("_subject")},
         )
         return largest(counted.withColumn(column, or_label(F.col(column))), "total_teachers", column)
     return dataset

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from censusmart.functions.calendar import period_label
 from censusmart.functions.numbers import is_true, percent, ratio
+from censusmart.operators.distinct import distinct_counts, numbered
 from censusmart.plans.common import Tables
 from censusmart.reports.base import (
     breakdown, current_count, district_of, district_people, largest, people_by, smallest,
@@ -56,26 +57,26 @@ def _learners_per_school(t: Tables) -> DataFrame:
     )
 
 
-def _ptr_board(rows: DataFrame, learners: Column) -> DataFrame:
-    board = rows.groupBy(F.col("district_name").alias("District")).agg(
-        F.count_distinct("school_id").alias("Schools"),
-        F.count_distinct("teacher_id").alias("Teachers"),
-        F.sum(learners).alias("Learners"),
-        ratio(F.sum(learners), F.count_distinct("teacher_id"), 1).alias("PTR"),
-    )
-    return largest(board, "PTR", "District")
-
-
 def ptr_by_district(t: Tables) -> DataFrame:
     """As published: a school's learners count once for every HR row of the school.
 
-    The HR rows are first reduced to one row per school and teacher with their number.
+    The HR rows are first reduced to one row per school and teacher with their number; one pass of bitmaps then
+    counts schools and teachers and sums the learners.
     """
     posts = t[FACT].groupBy("school_id", "teacher_id").agg(F.count(F.lit(1)).alias("hr_rows"))
-    rows = district_of(posts, t).join(
-        _learners_per_school(t), F.col("school_id") == F.col("_school"), "left"
+    places = numbered(t["dw.school_district_map"].select("school_dim_id", "district_name"), "school_dim_id", "_school_no")
+    rows = numbered(posts, "teacher_id", "_teacher_no", near="school_id").join(
+        places, F.col("school_id") == F.col("school_dim_id")
+    ).join(_learners_per_school(t), F.col("school_id") == F.col("_school"), "left")
+    counted = distinct_counts(
+        rows, ["district_name"], {"Schools": F.col("_school_no"), "Teachers": F.col("_teacher_no")},
+        {"Learners": F.col("learners") * F.col("hr_rows")},
     )
-    return _ptr_board(rows, F.col("learners") * F.col("hr_rows"))
+    board = counted.select(
+        F.col("district_name").alias("District"), "Schools", "Teachers", "Learners",
+        ratio(F.col("Learners"), F.col("Teachers"), 1).alias("PTR"),
+    )
+    return largest(board, "PTR", "District")
 
 
 def ptr_by_district_dedup(t: Tables) -> DataFrame:

@@ -4,7 +4,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from censusmart.operators import asof, hierarchy, keys, lookup, quality, scd2, shape, upsert
+from censusmart.operators import asof, distinct, hierarchy, keys, lookup, quality, scd2, shape, upsert
 from censusmart.streaming.incremental import advance, incremental, last_success
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 6, 1), date(2024, 9, 1)
@@ -318,6 +318,42 @@ def test_differences_are_found_by_key(frame, rows):
     assert rows(got, "k", "difference") == [(1, "changed"), (2, "changed")]
 
 
+# ----------------------------------------------------------------------------- distinct counts
+
+def test_dense_numbers_are_unique_and_near(frame, rows):
+    df = frame("id long, place int", *[(i * 7919 % 1000, i % 5) for i in range(1000)], (None, 1), (3, 9))
+    got = distinct.dense_numbers(df.repartition(7), "id", near="place").collect()
+    assert sorted(r.id for r in got) == list(range(1000)) and len({r.number for r in got}) == 1000
+    assert len({r.number // 32768 for r in got}) <= 8
+
+
+def test_distinct_counts_equal_count_distinct(spark, frame, rows):
+    rng = random.Random(5)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, *range(-3, 40)]), rng.choice([None, *range(90_000, 90_900)]), rng.choice([None, 1, 2]))
+            for _ in range(3000)] + [("only nulls", None, None, None), ("one", 1, 90_000, 4), ("one", 1, 90_000, 4)]
+    df = frame("k string, x long, y long, v int", *data)
+    plain = df.groupBy("k").agg(F.count_distinct("x").alias("xs"), F.count_distinct("y").alias("ys"), F.sum("v").alias("v"))
+    both = distinct.numbered(distinct.numbered(df, "x", "x_no"), "y", "y_no", near="x")
+    got = distinct.distinct_counts(both, ["k"], {"xs": F.col("x_no"), "ys": F.col("y_no")}, {"v": F.col("v")})
+    assert rows(got.select(plain.columns)) == rows(plain)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    # Numbers that lie thousands of bitmaps apart, and no keys at all.
+    wide = distinct.distinct_counts(df, [], {"ys": F.col("y") * 1_000_003})
+    assert wide.first().ys == df.agg(F.count_distinct("y")).first()[0]
+    assert distinct.distinct_counts(df.limit(0), [], {"ys": F.col("y")}).first().ys == 0
+    assert distinct.distinct_counts(df.limit(0), ["k"], {"ys": F.col("y")}).count() == 0
+
+
+def test_distinct_counts_roll_up(frame, rows):
+    df = frame("school int, district string, teacher long, pay int", (1, "A", 10, 5), (1, "A", 11, 5), (2, "A", 10, 7), (3, "B", 10, 1),
+               (3, "B", 10, 1), (4, None, 12, 2))
+    maps = distinct.bitmaps(distinct.numbered(df, "teacher", "no", near="school"), ["school", "district"], {"teachers": F.col("no")}, {"pay": F.col("pay")})
+    got = distinct.roll_up(maps, {"school": F.col("school"), "district": F.col("district"), "nation": F.lit("all")}, ["teachers"], ["pay"])
+    assert sorted((r.level, r.place or "", r.teachers, r.pay) for r in got.collect()) == [
+        ("district", "", 1, 2), ("district", "A", 2, 17), ("district", "B", 1, 2), ("nation", "all", 3, 21),
+        ("school", "1", 2, 10), ("school", "2", 1, 7), ("school", "3", 1, 2), ("school", "4", 1, 2)]
+
+
 # ----------------------------------------------------------------------------- watermarks
 
 def test_watermark(frame):

@@ -14,6 +14,7 @@ FAMILIES = [
     "teaching_flatten", "transfer_fact", "enrolment_indicator_upsert", "school_indicators", "seed_staff_roles",
     "teachers_district_leaderboard", "indicators_gpi_by_district", "subjects_olevel_alevel_split",
     "chart_indicators_enrolment_by_level_gender", "dq_infrastructure", "dq_supplementary",
+    "distinct_rollup", "teachers_ptr_by_district", "subjects_by_category",
 ]
 
 

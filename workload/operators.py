@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from censusmart.functions import calendar as cal
 from censusmart.functions import labels as lab
 from censusmart.functions import numbers as num
-from censusmart.operators import asof, hierarchy, keys, lookup, quality, scd2, shape, upsert
+from censusmart.operators import asof, distinct, hierarchy, keys, lookup, quality, scd2, shape, upsert
 from censusmart.plans import runner
 from censusmart.reports.base import largest, smallest
 from censusmart.session import cut_lineage
@@ -644,6 +644,21 @@ def kpi_counts(w):
                              F.count_distinct("c_nationkey").alias("nations"))
 
 
+DISTINCT_AT = "SELECT '{level}' AS level, CAST({place} AS VARCHAR) AS place, count(DISTINCT l_partkey) AS parts, count(DISTINCT CAST(l_shipdate AS DATE)) AS days, count(*) AS lines FROM {{lineitem}} JOIN {{supplier}} ON s_suppkey = l_suppkey GROUP BY {place}"
+
+
+@query(" UNION ALL ".join(DISTINCT_AT.format(level=level, place=place) for level, place in {"school": "l_suppkey", "district": "s_nationkey"}.items())
+       + " UNION ALL SELECT 'nation', 'all', count(DISTINCT l_partkey), count(DISTINCT CAST(l_shipdate AS DATE)), count(*) FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey")
+def distinct_rollup(w):
+    """Distinct parts and days per school, district and nation from one set of bitmaps; days are dense by themselves."""
+    rows = distinct.numbered(w["lineitem"].select("l_suppkey", "l_partkey", "l_shipdate"), "l_partkey", "part_no", near="l_suppkey")
+    placed = lookup.lookup(rows, w["supplier"], "l_suppkey", {"s_nationkey": "s_nationkey"}, key="s_suppkey", how="inner")
+    day = F.date_diff(F.col("l_shipdate").cast("date"), F.lit(date(1970, 1, 1))).cast("long")
+    maps = distinct.bitmaps(placed, ["l_suppkey", "s_nationkey"], {"parts": F.col("part_no"), "days": day}, {"lines": F.lit(1)})
+    levels = {"school": F.col("l_suppkey"), "district": F.col("s_nationkey"), "nation": F.lit("all")}
+    return distinct.roll_up(maps, levels, ["parts", "days"], ["lines"])
+
+
 @query(f"""SELECT {pct("count(DISTINCT CASE WHEN c_acctbal > 5000 THEN c_custkey END)", "count(DISTINCT c_custkey)", 1)} AS pct_rich FROM {{customer}}""")
 def kpi_pct(w):
     per = w["customer"].select("c_custkey", (F.col("c_acctbal") > 5000).alias("rich")).distinct()
