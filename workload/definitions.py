@@ -44,6 +44,11 @@ def _choose(expr: str, *labels: str | None) -> str:
     return f"CASE {expr} {whens} END"
 
 
+def _known(test: str, key: str) -> str:
+    """The key where the test holds, elsewhere one that no other table has."""
+    return f"CASE WHEN {test} THEN {key} ELSE -1 - {key} END"
+
+
 def _flag(expr: str) -> str:
     """Three-valued flag of an integer expression: 0 true, 1 false, else unknown."""
     return f"CASE ({expr}) % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END"
@@ -265,11 +270,11 @@ VIEWS: dict[str, str] = {
         "'N' || CAST(s_suppkey AS STRING), 'PRIMARY', NULL, NULL, NULL, NULL, NULL, NULL, DATE '2025-01-15' "
         "FROM {supplier} WHERE s_acctbal > 9000",
     "dw_school_location_details_dim":
-        "SELECT s_suppkey AS id, s_suppkey AS school_id, 'Plot ' || CAST(s_nationkey AS STRING) AS physical_address, "
+        "SELECT s_suppkey AS id, " + _known("s_acctbal > 500", "s_suppkey") + " AS school_id, 'Plot ' || CAST(s_nationkey AS STRING) AS physical_address, "
         "CAST(NULL AS STRING) AS postal_address, CAST(10000 + s_nationkey AS BIGINT) AS admin_unit_id, "
         "CAST(s_nationkey AS DOUBLE) AS latitude, CAST(s_suppkey AS DOUBLE) AS longitude, "
         "DATE '2022-01-01' AS effective_date, DATE '9999-12-31' AS expiration_date, TRUE AS is_current, "
-        "DATE '2021-12-01' AS date_created FROM {supplier} WHERE s_acctbal > 500",
+        "DATE '2021-12-01' AS date_created FROM {supplier}",
     "stg_school_location_details_raw":
         "SELECT s_suppkey + 7 AS id, s_suppkey AS school_id, CASE WHEN s_acctbal < 4000 THEN 'Road ' ELSE 'Plot ' END "
         "|| CAST(s_nationkey AS STRING) AS physical_address, CAST(NULL AS STRING) AS postal_address, "
@@ -278,12 +283,11 @@ VIEWS: dict[str, str] = {
         "DATE '9999-12-31' AS expiration_date, s_acctbal > 100 AS is_current, DATE '2023-12-01' AS date_created FROM {supplier}",
     "dw_date_dim":
         "SELECT DISTINCT CAST(y * 10000 + m * 100 + dd AS BIGINT) AS id, make_date(y, m, dd) AS system_date FROM ("
-        f"SELECT CAST(year(l_shipdate) + {YEAR_SHIFT} AS INT) AS y, CAST(month(l_shipdate) AS INT) AS m, "
-        "CAST(CASE WHEN day(l_shipdate) > 28 THEN 1 ELSE day(l_shipdate) END AS INT) AS dd FROM {lineitem}) AS t "
-        "WHERE y < 2029",
+        f"SELECT CAST(year(l_shipdate) + {YEAR_SHIFT} - CASE WHEN year(l_shipdate) + {YEAR_SHIFT} < 2029 THEN 0 ELSE 100 END AS INT) AS y, CAST(month(l_shipdate) AS INT) AS m, "
+        "CAST(CASE WHEN day(l_shipdate) > 28 THEN 1 ELSE day(l_shipdate) END AS INT) AS dd FROM {lineitem}) AS t",
     "dw_school_fact":
-        "SELECT s_suppkey * 10 + CASE WHEN s_acctbal < 3000 THEN 1 ELSE 0 END AS school_id, "
-        "CAST(20250115 AS BIGINT) AS date_id FROM {supplier} WHERE s_acctbal > 200 "
+        "SELECT " + _known("s_acctbal > 200", "(s_suppkey * 10 + CASE WHEN s_acctbal < 3000 THEN 1 ELSE 0 END)") + " AS school_id, "
+        "CAST(20250115 AS BIGINT) AS date_id FROM {supplier} "
         "UNION ALL SELECT s_suppkey * 10, CAST(20240115 AS BIGINT) FROM {supplier} "
         "UNION ALL SELECT s_suppkey * 10 + 5, CAST(20240116 AS BIGINT) FROM {supplier} WHERE s_acctbal > 9000",
     "dw_school_district_map":
@@ -319,8 +323,8 @@ VIEWS: dict[str, str] = {
         "SELECT l_orderkey * 4 AS person_id, ln % 6 AS identity_type_id, 'D' || CAST(partkey AS STRING) AS document_id FROM {lines} "
         "UNION ALL SELECT c_custkey * 4 + 1, CAST(c_nationkey % 5 AS BIGINT), 'T' || CAST(c_custkey AS STRING) FROM {customer}",
     "src_learner_disabilities":
-        "SELECT l_orderkey * 10 + ln AS id, l_orderkey * 4 AS learner_id, partkey % 27 AS disability_type_id, "
-        "CAST(shipdate AS DATE) AS date_created, CAST(shipdate AS DATE) AS date_updated FROM {lines} WHERE discount > 0.06",
+        "SELECT l_orderkey * 10 + ln AS id, " + _known("discount > 0.06", "l_orderkey * 4") + " AS learner_id, partkey % 27 AS disability_type_id, "
+        "CAST(shipdate AS DATE) AS date_created, CAST(shipdate AS DATE) AS date_updated FROM {lines}",
     "src_learner_enrolments":
         "SELECT l_orderkey * 10 + ln AS id, l_orderkey * 4 AS learner_id, suppkey AS school_id, "
         "CAST(year(shipdate) - 1994 AS BIGINT) AS academic_year_id, "
@@ -397,11 +401,11 @@ VIEWS: dict[str, str] = {
         "CASE WHEN p_size = 50 THEN NULL ELSE p_size = 49 END AS is_archived_yn, "
         "CASE WHEN p_size = 48 THEN DATE '2024-01-01' END AS deleted_at FROM {part}",
     "src_setting_school_infrastructure_types":
-        "SELECT p_partkey AS id, 'Kind ' || p_brand AS name, " + ", ".join(
+        "SELECT " + _known("p_retailprice < 970", "p_partkey") + " AS id, 'Kind ' || p_brand AS name, " + ", ".join(
             f"{_flag(f'p_size + {i}')} AS {c}" for i, c in enumerate(
                 ("is_lab_yn", "is_sanitation_yn", "is_area_captured_yn", "gender_usage_yn", "user_category_yn",
                  "is_for_pre_primary", "is_for_primary", "is_for_secondary")))
-        + " FROM {part} WHERE p_retailprice < 970",
+        + " FROM {part}",
     "src_school_building_status_updates":
         "SELECT l_orderkey * 10 + ln AS id, suppkey AS school_id, partkey AS building_id, "
         "CAST(CASE WHEN tax > 0.07 THEN 99 ELSE year(shipdate) - 1994 END AS BIGINT) AS academic_year_id, ln % 6 AS teaching_period_id, "
@@ -472,10 +476,11 @@ VIEWS: dict[str, str] = {
         "CAST(NULL AS STRING) AS hrin, CAST(NULL AS STRING) AS hcm_employee_number, CAST(4 AS SMALLINT) AS weekly_teaching_periods, "
         "FALSE AS is_undergoing_training FROM {customer}",
     "stg_teacher_subjects_raw":
-        "SELECT l_orderkey * 10 + ln AS id, partkey * 10 AS employee_id, partkey * 4 + 1 AS person_id, suppkey AS subject_id, "
+        "SELECT l_orderkey * 10 + ln AS id, " + _known("discount > 0.08", "partkey * 10") + " AS employee_id, "
+        + _known("discount > 0.08", "(partkey * 4 + 1)") + " AS person_id, suppkey AS subject_id, "
         "'Subject ' || CAST(suppkey AS STRING) AS subject_name, " + _flag("partkey + suppkey % 2") + " AS is_science_subject, "
         "suppkey % 4 = 0 AS is_language_subject, CAST(shipdate AS DATE) AS date_created, CAST(shipdate AS DATE) AS date_updated "
-        "FROM {lines} WHERE discount > 0.08",
+        "FROM {lines}",
     "stg_teacher_school_raw":
         "SELECT partkey * 10 AS employee_id, partkey * 4 + 1 AS person_id, CASE WHEN min(tax) = 0 THEN NULL ELSE min(suppkey) END AS school_id "
         "FROM {lines} GROUP BY partkey UNION ALL "
@@ -567,11 +572,11 @@ VIEWS: dict[str, str] = {
         "partkey * 4 + 2 AS person_id, suppkey AS school_source_id, " + _year("shipdate") + " AS academic_year, " + _term("shipdate") + " AS term, "
         "CAST(year(shipdate) * 10000 + 280000 + month(shipdate) * 100 + 1 AS BIGINT) AS date_id FROM {lines}",
     "dw_infrastructure_type_dim":
-        "SELECT p_partkey AS id, p_partkey AS source_id, " + _choose(
+        "SELECT " + _known("p_size < 47", "p_partkey") + " AS id, p_partkey AS source_id, " + _choose(
             "p_size % 7", "Classroom block", "VIP latrine", "Science room", "Main Library", "Computer Lab", "Dormitory", "Kitchen")
         + " || ' ' || p_type AS type_name, 'Items' AS item_category, " + _flag("p_size") + " AS is_lab_yn, FALSE AS is_sanitation_yn, "
         "FALSE AS is_area_captured_yn, FALSE AS gender_usage_yn, FALSE AS user_category_yn, FALSE AS is_for_pre_primary, "
-        "TRUE AS is_for_primary, TRUE AS is_for_secondary, TRUE AS is_active_yn FROM {part} WHERE p_size < 47",
+        "TRUE AS is_for_primary, TRUE AS is_for_secondary, TRUE AS is_active_yn FROM {part}",
     "dw_infrastructure_fact":
         "SELECT l_orderkey * 10 + ln AS id, suppkey * 10 AS school_id, partkey AS infra_type_id, suppkey AS school_source_id, "
         "partkey % 60 AS building_source_id, " + _year("shipdate") + " AS academic_year, " + _term("shipdate") + " AS term, "
@@ -589,13 +594,13 @@ VIEWS: dict[str, str] = {
         "SELECT l_orderkey * 10 + ln AS id, l_orderkey * 10 AS teacher_id, suppkey * 10 AS school_id, partkey AS subject_id, "
         "l_orderkey * 4 + 1 AS person_id, suppkey AS school_source_id, partkey AS subject_source_id, 'SECONDARY' AS subject_level FROM {lines}",
     "dw_teacher_transfer_fact":
-        "SELECT o_orderkey AS id, o_custkey * 10 + CASE WHEN o_totalprice > 400000 THEN 7 ELSE 0 END AS teacher_id, "
+        "SELECT o_orderkey AS id, CASE WHEN o_orderpriority = '2-HIGH' THEN -1 ELSE 1 END * o_custkey * 10 + CASE WHEN o_totalprice > 400000 THEN 7 ELSE 0 END AS teacher_id, "
         "CASE WHEN o_totalprice > 50000 THEN o_custkey % 100 * 10 END AS out_school_id, "
         "CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_custkey % 25 + 10000 END AS out_district_id, "
         "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey % 25 + 10000 END AS in_district_id, o_orderkey AS transfer_source_id, "
         "o_orderstatus = 'P' AS is_inter_district, CASE WHEN o_totalprice > 20000 THEN CAST(o_orderkey % 9000 - 50 AS INT) END AS days_at_outgoing_station, "
         "CAST(o_orderdate AS DATE) AS posting_date, CASE WHEN o_totalprice > 30000 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 - 5 AS INT) END "
-        "AS reporting_date FROM {orders} WHERE o_orderpriority <> '2-HIGH'",
+        "AS reporting_date FROM {orders}",
     "dw_population_fact":
         "SELECT CAST(10000 + n_nationkey AS BIGINT) AS district_id, p.district_name, p.year, p.sex, p.total_population, "
         "CAST(p.total_population * 2 AS BIGINT) AS pop_age_3_5, p.total_population AS pop_age_6_12, CAST(p.total_population * 3 AS BIGINT) AS pop_age_13_16, "

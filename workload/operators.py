@@ -294,7 +294,8 @@ def lookup_decode(w):
     decoded = w["orders"].select(
         "o_orderkey", "o_custkey", lab.decode(F.col("o_orderstatus"), {"F": "FILLED", "O": "OPEN"}).alias("status"),
         lab.decode(F.col("o_orderstatus"), {"F": "FILLED"}, "UNKNOWN").alias("strict_status"))
-    named = lookup.lookup(decoded, w["customer"].filter("c_acctbal > 1000"), "o_custkey", {"c_nationkey": "nk"}, key="c_custkey")
+    known = F.when(F.col("c_acctbal") > 1000, F.col("c_custkey")).otherwise(-1 - F.col("c_custkey"))
+    named = lookup.lookup(decoded, w["customer"].withColumn("c_custkey", known), "o_custkey", {"c_nationkey": "nk"}, key="c_custkey")
     named = lookup.lookup(named, w["nation"], "nk", {"n_name": "nation", "n_regionkey": "rk"}, key="n_nationkey")
     named = lookup.lookup(named, w["region"], "rk", {"r_name": "region"}, key="r_regionkey")
     return named.drop("o_custkey", "nk", "rk")
@@ -457,13 +458,16 @@ def period_expand(w):
 # ----------------------------------------------------------------------------- ratios
 
 @query("""
-WITH c AS (SELECT l_suppkey, count(p_partkey) AS subjects, count(*) FILTER (WHERE p_size > 44) AS science FROM (SELECT l_suppkey, l_partkey FROM {lineitem} WHERE l_quantity > 49) l
-   LEFT JOIN {part} ON p_partkey = l_partkey AND p_retailprice > 950 GROUP BY l_suppkey)
+WITH c AS (SELECT l_suppkey, count(p_partkey) AS subjects, count(*) FILTER (WHERE p_size > 44) AS science FROM {lineitem}
+   LEFT JOIN {part} ON p_partkey = l_partkey AND l_quantity > 49 AND p_retailprice > 950 GROUP BY l_suppkey)
 SELECT s_suppkey, subjects, science, CASE WHEN subjects IS NULL OR subjects = 0 THEN NULL WHEN science = subjects THEN 'SCIENCE' WHEN science = 0 THEN 'ARTS' ELSE 'BOTH' END AS discipline,
    CASE WHEN subjects = 0 THEN NULL WHEN science = subjects THEN 'SCIENCE' WHEN science = 0 THEN 'ARTS' ELSE 'BOTH' END AS literal_rule FROM {supplier} LEFT JOIN c ON l_suppkey = s_suppkey""")
 def discipline_label(w):
-    parts = w["part"].filter("p_retailprice > 950").select(F.col("p_partkey").alias("l_partkey"), "p_partkey", "p_size")
-    counted = w["lineitem"].filter("l_quantity > 49").select("l_suppkey", "l_partkey").join(parts, "l_partkey", "left").groupBy("l_suppkey").agg(
+    """Subjects and sciences per school; lines of a small quantity and cheap parts have a key that the other side lacks."""
+    known = F.when(F.col("p_retailprice") > 950, F.col("p_partkey")).otherwise(-1 - F.col("p_partkey"))
+    parts = w["part"].select(known.alias("key"), "p_partkey", "p_size")
+    taught = F.when(F.col("l_quantity") > 49, F.col("l_partkey")).otherwise(0)
+    counted = w["lineitem"].select("l_suppkey", taught.alias("key")).join(parts, "key", "left").groupBy("l_suppkey").agg(
         F.count("p_partkey").alias("subjects"), F.count_if(F.col("p_size") > 44).alias("science"))
     rows = w["supplier"].select("s_suppkey").join(counted, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     n, s = F.col("subjects"), F.col("science")
@@ -526,11 +530,12 @@ def status_range_guard(w):
 
 
 @query("""
-SELECT CASE WHEN l_quantity <= 20 THEN '0-20 (Very Low)' WHEN l_quantity <= 40 THEN '21-40 (Low)' ELSE '41-53 (Acceptable)' END AS range, count(*) AS n, min(l_quantity) AS low FROM {lineitem} WHERE l_quantity > 5 GROUP BY 1""")
+SELECT CASE WHEN r <= 20 THEN '0-20 (Very Low)' WHEN r <= 40 THEN '21-40 (Low)' WHEN r <= 53 THEN '41-53 (Acceptable)' WHEN r <= 70 THEN '54-70 (High)'
+ WHEN r <= 100 THEN '71-100 (Very High)' ELSE '100+ (Critical)' END AS range, count(*) AS n, min(r) AS low FROM (SELECT l_quantity * 5 - 5 AS r FROM {lineitem}) t WHERE r > 0 AND r < 200 GROUP BY 1""")
 def range_distribution(w):
-    rows = w["lineitem"].filter("l_quantity > 5").groupBy(num.ptr_band(F.col("l_quantity")).alias("range")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("l_quantity").alias("low"))
-    return rows.orderBy("low")
+    """Ratios from 0 to 245: those in the report's open range fall into all six bands."""
+    rows = w["lineitem"].select((F.col("l_quantity") * 5 - 5).alias("r")).filter("r > 0 and r < 200")
+    return rows.groupBy(num.ptr_band(F.col("r")).alias("range")).agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("low")).orderBy("low")
 
 
 # ----------------------------------------------------------------------------- set operations, tops, trends
@@ -709,10 +714,11 @@ def incremental_from_table(w):
 
 
 @query("""SELECT source_name, max(ts) AS last_success_ts, CAST(max(run) AS INTEGER) AS last_run_id FROM (
- SELECT event_type AS source_name, ts, 1 AS run FROM {events} WHERE value < 20 UNION ALL SELECT 'click', ts, 2 FROM {events} WHERE event_type = 'click') AS t GROUP BY source_name""")
+ SELECT CASE WHEN value < 20 THEN event_type ELSE 'late ' || event_type END AS source_name, ts, 1 AS run FROM {events} UNION ALL SELECT 'click', ts, 2 FROM {events} WHERE event_type = 'click') AS t GROUP BY source_name""")
 def watermark_advance(w):
     """The watermark of one source moves to the newest row it read; the others stay."""
-    marks = w["events"].filter("value < 20").groupBy(F.col("event_type").alias("source_name")).agg(
+    own = F.when(F.col("value") < 20, F.col("event_type")).otherwise(F.concat(F.lit("late "), "event_type"))
+    marks = w["events"].groupBy(own.alias("source_name")).agg(
         F.max("ts").cast("timestamp").alias("last_success_ts"), F.lit(1).alias("last_run_id"))
     moved = advance(marks, "click", w["events"].filter(F.col("event_type") == "click"), "ts", 2)
     return moved.withColumn("last_success_ts", F.col("last_success_ts").cast("timestamp_ntz"))
