@@ -8,7 +8,9 @@ is handled by one task.
 
 Defined cases: a null or empty text has size 0; a null source is a source of its own, last in order; rows
 equal in id, source and text share one place in the queue, as one item of their joint size; an empty table
-gives an empty plan. Columns other than id, text and source are never looked at, so any names may occur.
+gives an empty plan. Ranges of the queue are cut by rows, so that a document with nearly all words of its source, sources
+of empty texts and null ids, which share one place in the shuffle, leave no task more rows than others. A text of any
+length only has its words counted. Columns other than id, text and source are never looked at, so any names may occur.
 """
 
 from __future__ import annotations
@@ -18,14 +20,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from censusmart.llm.running import running_total
+from censusmart.llm.running import ranged, running_total
 from censusmart.llm.storage import saved, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_PASSES = 3
 SEED = "mix"
-ROWS_PER_BUCKET = 16384
 KEY_BITS = 60
 
 
@@ -93,18 +94,16 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_passes:
                                    weights, max_passes).coalesce(1), "mix-targets")
     keyed = items.withColumnRenamed("source", "own").join(targets, F.col("own").eqNullSafe(F.col("source"))).drop("own")
     order = ["key", F.col("doc_id").asc_nulls_last(), "row_hash"]
-    share = F.col("key") / F.lit(float(2 ** KEY_BITS))
-    queued = saved(running_total(keyed, ["source_no"], F.floor(share * F.ceil(F.col("n_rows") / ROWS_PER_BUCKET)).cast("long"),
-                                 order, "words", "sent"), "mix-queue")
+    n_items = items.count()
+    placed = ranged(keyed, n_items, ["source_no", *order], "mix-sources")
+    queued = saved(running_total(placed, ["source_no"], F.col("_range"), order, "words", "sent").drop("_range"), "mix-queue")
 
     # The global queue: passes that can begin before virtual time 1, in order of finish time.
     last = F.least(F.lit(max_passes - 1), F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).cast("int")
     queue = (queued.withColumn("pass", F.explode(F.sequence(F.lit(0), last)))
              .select("doc_id", "row_hash", "key", "words", "budget", _finish(F.col("pass"), F.col("sent")).alias("finish"), F.lit(0).alias("queue")))
-    n_items = items.count()
-    n_ranges = -(-n_items * max_passes // ROWS_PER_BUCKET) or 1
-    place = F.least(F.floor(F.col("finish") * n_ranges), F.lit(max_passes * n_ranges)).cast("long")
-    total = running_total(queue, ["queue"], place, ["finish", *order], "words", "running")
+    in_queue = ranged(queue, n_items * max_passes, ["finish", *order], "mix-finish")
+    total = running_total(in_queue, ["queue"], F.col("_range"), ["finish", *order], "words", "running")
     cut = total.where(F.col("running") <= F.col("budget")).agg(
         F.max(F.struct("finish", "key", F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("id"), "row_hash")).alias("cut")).first()["cut"]
     if cut is None:

@@ -5,6 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from censusmart.llm.storage import saved
+
+ROWS_PER_RANGE = 16384
+MANY_RANGES = 4096
+MOST_ROWS_PER_RANGE = 1 << 20
+
+
+def ranged(df: DataFrame, n_rows: int, order: list, name: str) -> DataFrame:
+    """``df``, saved, with ``_range``: the number of the row's range in ``order``, which should leave no ties.
+
+    Spark samples the order and cuts it into ranges of nearly equal numbers of rows, whatever the values are. A range
+    has about ``ROWS_PER_RANGE`` rows; beyond ``MANY_RANGES`` ranges, which are tasks, up to ``MOST_ROWS_PER_RANGE``. The frame
+    is written, since a second evaluation would sample again.
+    """
+    n = max(min(-(-n_rows // ROWS_PER_RANGE), MANY_RANGES), -(-n_rows // MOST_ROWS_PER_RANGE), 1)
+    return saved(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), name)
+
 
 def running_total(df: DataFrame, by: list[str], bucket: Column, order: list, value: str, name: str) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows of the same ``by`` up to and with this row.

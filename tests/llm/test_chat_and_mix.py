@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from censusmart.llm import chat, mixing
+from censusmart.llm import chat, mixing, running
 
 PIECES = ["</s>", "<s>", "[INST]", "[/INST]", "[ANSWER]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[SAYS]", "[/ROLE]", "\\", "<", "[", " ", "/s>", "\n", "ä", "$0", "x"]
 
@@ -76,3 +76,23 @@ def test_mix(spark):
     mixed = mixing.mix_documents(frame)
     assert mixed.columns == frame.columns and mixed.count() == sum(r.passes * r.rows for r in plan)
     assert mixing.mix_documents(frame.limit(0)).count() == 0
+
+
+def test_ranges_of_the_queue_are_bounded_in_rows(spark, monkeypatch):
+    """A giant document, a source of empty texts and null ids spread over the ranges; their number changes no result."""
+    docs = [(0, "w " * 50_000, "giant")] + [(i, "w", "giant") for i in range(1, 1500)] + [(i, "", "empty") for i in range(1500, 3000)]
+    docs += [(None, f"a {i}", "nulls") for i in range(1500)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(8)
+    seen, whole = [], running.ranged
+
+    def watched(*args):
+        got = whole(*args)
+        seen.append([r["count"] for r in got.groupBy("_range").count().collect()])
+        return got
+
+    monkeypatch.setattr(mixing, "ranged", watched)
+    one = sorted(map(str, mixing.mixing_plan(frame).collect()))
+    assert [len(counts) for counts in seen] == [1, 1]
+    monkeypatch.setattr(running, "ROWS_PER_RANGE", 100)
+    assert sorted(map(str, mixing.mixing_plan(frame).collect())) == one and len(one) == 4500
+    assert all(len(counts) > 30 and max(counts) < 300 for counts in seen[2:])
