@@ -5,8 +5,8 @@ the dictionaries matter as much at the end of a long text as at its beginning. T
 sum, and the size of the text compressed with the good dictionary over its length, go through a logistic curve fitted on labelled
 rows that the dictionaries have not seen.
 
-Training takes a bounded sample of labelled rows (``TRAIN_ROWS``, of each class at most ``CLASS_BYTES`` for its dictionary) in one
-task. Defined cases: a null or empty text has difference 0 and ratio 0 and gets the curve's value there; without labelled rows of both classes
+Training takes a bounded sample of labelled rows (``TRAIN_ROWS``, of a text over ``TRAIN_BYTES`` evenly spaced pieces of that many
+bytes, of each class at most ``CLASS_BYTES`` for its dictionary) in one task. Scores are of whole texts of any length. Defined cases: a null or empty text has difference 0 and ratio 0 and gets the curve's value there; without labelled rows of both classes
 every score is the share of label 1, 0.5 without any; repeated rows score alike; an empty table gives no rows.
 Columns other than id and text are not read.
 """
@@ -28,6 +28,7 @@ PIECE = 2048
 DICTIONARY_BYTES = 48 << 10
 CLASS_BYTES = 4 << 20
 TRAIN_ROWS = 10_000
+TRAIN_BYTES = 32 << 10
 LEVEL = 1
 STEPS = 60
 
@@ -36,6 +37,13 @@ def pieces(text: bytes) -> list[bytes]:
     return [text[i:i + PIECE] for i in range(0, len(text), PIECE)]
 
 
+def spread(text: bytes) -> bytes:
+    """The text, or pieces spread evenly over it that make up ``TRAIN_BYTES`` at most."""
+    parts = pieces(text)
+    most = TRAIN_BYTES // PIECE
+    return text if len(parts) <= most else b"".join(parts[i * len(parts) // most] for i in range(most))
+
+
 def dictionary(texts: list[bytes]) -> bytes:
     """A dictionary trained on pieces spread over the texts; raw text where there are too few."""
     parts = [p for t in texts for p in pieces(t)]
@@ -105,7 +113,7 @@ def fit(rows: list[tuple[int, bytes]]) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, **columns) -> Model:
     """The model of a bounded sample, fitted in one task; two dictionaries of 48 KB and three numbers reach the driver."""
-    sample = training_sample(docs, labels, label, rows, **columns).select("label", F.col("text").cast("binary").alias("text"))
+    sample = training_sample(docs, labels, label, rows, lambda: lambda text: spread(text.encode("utf-8", "replace")), **columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = fit([(y.as_py(), t.as_py()) for batch in batches for y, t in zip(*batch.columns)])

@@ -1,11 +1,11 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features are words, pairs of neighbours and pairs with one word between, hashed into 2**20 places; a feature counts once
-per text. Training is some passes over a bounded sample of labelled rows (``TRAIN_ROWS``) in one task, the
-rarer label weighted by the root of its rarity; the L1 term leaves few weights other than zero, which are the whole model that travels to the tasks. Every document is scored over its whole text.
+per text. Training is some passes over a bounded sample of labelled rows (``TRAIN_ROWS``, of each text at most ``TRAIN_PLACES`` of its different
+places, which tasks compute) in one task, the rarer label weighted by the root of its rarity; the L1 term leaves few weights other than zero, which are the whole model that travels to the tasks. Every document is scored over its whole text.
 
 Defined cases: a null or empty text has no feature and scores by the bias alone; without labelled rows every
-score is the bias's 0.5; repeated rows score alike; an empty table gives no rows. Columns other than id and text are not read.
+score is the bias's 0.5; very long texts are scored whole; repeated rows score alike; an empty table gives no rows. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from censusmart.llm.labelled import held_out, training_sample
 
 BITS = 20
 TRAIN_ROWS = 12_000
+TRAIN_PLACES = 8192
 PASSES = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
 KNOWN_WORDS = 500_000
@@ -48,6 +49,14 @@ class Features:
         return ((mixed ^ mixed >> np.uint64(29)) * _MIX[0] >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def learned_places(places: np.ndarray) -> np.ndarray:
+    """The different places of a training text, ``TRAIN_PLACES`` evenly spread ones of them if there are more."""
+    different = np.unique(places).astype(np.int32)
+    if len(different) <= TRAIN_PLACES:
+        return different
+    return different[np.arange(TRAIN_PLACES) * len(different) // TRAIN_PLACES]
+
+
 class Ftrl:
     """Weights with a learning rate per coordinate; the last place is the bias."""
 
@@ -76,11 +85,15 @@ class Ftrl:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS, **columns) -> dict[int, float]:
     """Weights by place, zeros left out; at most 2**20 + 1 of them, in practice some thousands."""
-    sample = training_sample(docs, labels, label, rows, **columns).select("label", "text")
+    def reduced():
+        features = Features()
+        return lambda text: learned_places(features(text)).tobytes()
+
+    sample = training_sample(docs, labels, label, rows, reduced, **columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, model = Features(), Ftrl()
-        held = [(np.unique(features(t.as_py())).astype(np.int32), int(y.as_py() > 0)) for batch in batches for y, t in zip(*batch.columns)]
+        model = Ftrl()
+        held = [(np.frombuffer(places.as_py(), np.int32), int(y.as_py() > 0)) for batch in batches for y, places in zip(*batch.columns)]
         share = sum(y for _, y in held) / max(1, len(held))
         weight = {1: 1.0, 0: 1.0} if share in (0.0, 1.0) else {1: max(1.0, 1 / share - 1) ** 0.5, 0: max(1.0, share / (1 - share)) ** 0.5}
         for _ in range(PASSES):
